@@ -104,7 +104,8 @@ def links(prints: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFra
 def crowded(near: DataFrame, masks: list[int], distance: int) -> DataFrame:
     """Links inside buckets that are too large to compare all their pairs. ``near``: fp, block, value."""
     bits = [F.lit(1 << k if k < 63 else -(1 << 63)) for k in range(64)]
-    free = F.array(*[F.filter(F.array(*bits), lambda b, m=m: b.bitwiseAND(F.lit(m)) == 0) for m in masks])
+    outside = lambda mask: lambda b: b.bitwiseAND(F.lit(mask)) == 0
+    free = F.array(*[F.filter(F.array(*bits), outside(m)) for m in masks])
     flips = F.get(free, F.col("block"))
     named = F.array(F.col("fp"))
     for _ in range((distance + 1) // 2):
@@ -144,11 +145,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = 2, buck
 
 def deduplicated(docs: DataFrame, words: int = WORDS, distance: int = 2) -> DataFrame:
     """``docs`` with one row of each component: the one of the smallest doc_id, the first of equals. All columns stay."""
-    rows = docs.withColumn("row_id", F.monotonically_increasing_id())
-    rows = staged(with_fingerprints(rows, words), "fingerprinted")
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
+    rows = staged(with_fingerprints(rows, words).drop("text"), "fingerprinted")
     labels = components(rows.select("doc_id", "row_id", "fingerprint"), distance)
     roots = labels.select(F.col("label.row_id").alias("row_id")).distinct()
-    return rows.join(roots, "row_id", "left_semi").select(*docs.columns)
+    return rows.join(roots, "row_id", "left_semi").select("doc.*")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

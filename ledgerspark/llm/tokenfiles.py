@@ -1,7 +1,7 @@
 """Flat files of unsigned token ids with 64-bit document offsets, memory-mapped on reading.
 
-A dataset is a folder of parts. Part k has ``k.bin`` (ids, little-endian unsigned 32-bit), ``k.off`` (n + 1 offsets into
-it, in ids, unsigned 64-bit) and ``k.doc`` (n document ids, signed 64-bit; the smallest long stands for null). Parts and
+A dataset is a folder of parts. Part k has ``k.bin`` (ids, little-endian unsigned 16-bit where every id of the vocabulary
+fits, else 32-bit), ``k.off`` (n + 1 offsets into it, in ids, unsigned 64-bit) and ``k.doc`` (n document ids, signed 64-bit; the smallest long stands for null). Parts and
 the documents in them are in ascending order of the document id (null first; rows of one id by their text). Where a
 part's ids start in the whole dataset is the prefix sum of the parts' lengths before it.
 """
@@ -47,10 +47,18 @@ def mapped(files, path: str, kind: str) -> np.ndarray:
         return np.frombuffer(f.readall(), kind)
 
 
+def width(vocabulary: str, end: int = END) -> str:
+    """The kind of unsigned integer that holds every id."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(vocabulary).get_vocab_size() - 1, end) < 1 << 16 else "<u4"
+
+
 class Part:
     """Writes one part; ids go out as they come, offsets and document ids (16 bytes a document) at the end."""
 
-    def __init__(self, uri: str, number: int):
+    def __init__(self, uri: str, number: int, kind: str):
+        self.kind = kind
         self.files, folder = store(uri)
         self.files.create_dir(folder, recursive=True)
         self.path, self.own = f"{folder}/{number:06d}", uuid.uuid4().hex
@@ -58,7 +66,7 @@ class Part:
         self.offsets, self.ids = [0], []
 
     def add(self, doc_id: int | None, raw: bytes) -> None:
-        self.out.write(raw)
+        self.out.write(np.frombuffer(raw, "<u4").astype(self.kind).tobytes())
         self.offsets.append(self.offsets[-1] + len(raw) // 4)
         self.ids.append(NULL_ID if doc_id is None else doc_id)
 
@@ -73,7 +81,8 @@ class Part:
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end: int = END) -> DataFrame:
     """Encode every whole text of ``docs`` (doc_id, text), append ``end``, write the parts and return their index.
 
-    Index: part (int), n_docs, n_ids, base (long; ids in the parts before). It is the only thing that a reader needs.
+    Index: part (int), kind (of integer), n_docs, n_ids, base (long; ids in the parts before). With the folder it is all
+    that a reader needs.
     A null text counts as empty and has ``end`` alone. Repeated rows are written as often as they occur. No documents
     give no parts. Other columns are ignored. Rows are dealt by range of doc_id, so a part is as large as its share; a
     task that is run again writes the same bytes to the same names.
@@ -87,17 +96,18 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end: int = END)
         for batch in batches:
             for doc_id, raw in zip(batch.column(0).to_pylist(), encoded(vocabulary, batch.column(1).to_pylist()), strict=True):
                 if part is None:
-                    part = Part(folder, number := TaskContext.get().partitionId())
+                    part = Part(folder, number := TaskContext.get().partitionId(), kind)
                 part.add(doc_id, raw + end.to_bytes(4, "little"))
         if part is not None:
             n_docs, n_ids = part.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([number], pa.int32()), "n_docs": [n_docs], "n_ids": [n_ids]})
 
+    kind = width(vocabulary, end)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     parts = staged(ordered.mapInArrow(write, "part int, n_docs long, n_ids long"), "parts")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+    return parts.withColumn("kind", F.lit(kind)).withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
 def read_tokens(index: DataFrame, folder: str) -> DataFrame:
@@ -109,17 +119,17 @@ def read_tokens(index: DataFrame, folder: str) -> DataFrame:
 
         files, path = store(folder)
         for batch in batches:
-            for part, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids, offsets, docs = (mapped(files, f"{path}/{part:06d}.{x}", k) for x, k in (("bin", "<u4"), ("off", "<u8"), ("doc", "<i8")))
+            for part, base, kind in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids, offsets, docs = (mapped(files, f"{path}/{part:06d}.{x}", k) for x, k in (("bin", kind), ("off", "<u8"), ("doc", "<i8")))
                 for first in range(0, len(docs), 1024):
                     own = docs[first : first + 1024]
                     cut = offsets[first : first + len(own) + 1].astype(np.int64)
-                    raws = [ids[a:z].tobytes() for a, z in zip(cut, cut[1:], strict=False)]
+                    raws = [ids[a:z].astype("<u4").tobytes() for a, z in zip(cut, cut[1:], strict=False)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(own, pa.int64(), mask=own == NULL_ID), pa.array(base + cut[:-1]), pa.array(np.diff(cut)), pa.array(raws, pa.binary())], ["doc_id", "start", "n_tokens", "ids"]
                     )
 
-    tasks = index.select("part", "base").repartition("part")
+    tasks = index.select("part", "base", "kind").repartition("part")
     return tasks.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -129,7 +129,8 @@ def read_tokens(index: DataFrame, folder: str) -> DataFrame:
                         [pa.array(own, pa.int64(), mask=own == NULL_ID), pa.array(base + cut[:-1]), pa.array(np.diff(cut)), pa.array(raws, pa.binary())], ["doc_id", "start", "n_tokens", "ids"]
                     )
 
-    tasks = index.select("part", "base", "kind").repartition("part")
+    # a task for each part, as a number of partitions that is asked for is never merged
+    tasks = index.select("part", "base", "kind").repartition(max(1, index.count()))
     return tasks.mapInArrow(read, "doc_id long, start long, n_tokens long, ids binary")
 
 

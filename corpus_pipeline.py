@@ -25,7 +25,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component. In this stage shingles are of five words."""
+    """One document of each near-duplicate component, by the operator's shingles of three words and links of two bits."""
     return deduplicated(docs)
 
 

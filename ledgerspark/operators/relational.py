@@ -59,12 +59,10 @@ def sector_rollup(lines: DataFrame, keys: list[str]) -> DataFrame:
     sector, label = fiscal.classify(F.col("major"))
     by_head = lines.where("amount <> 0").groupBy(*keys, "major").agg(F.sum("amount").alias("amount"))
     named = by_head.select(*keys, sector.alias("sector"), label.alias("sub_sector"), "amount")
-    k = ", ".join(keys)
-    named.createOrReplaceTempView("__rollup_input")
-    return named.sparkSession.sql(
-        f"SELECT {k}, sector, sub_sector, CAST(grouping_id(sector, sub_sector) AS INT) AS level, sum(amount) AS amount FROM __rollup_input"
-        f" GROUP BY GROUPING SETS (({k}, sector, sub_sector), ({k}, sector), ({k}))"
-    )
+    columns = [*keys, "sector", "sub_sector"]
+    sets = [columns, columns[:-1], keys]
+    level = (F.grouping("sector").cast("int") * 2 + F.grouping("sub_sector").cast("int")).alias("level")
+    return named.groupingSets(sets, *columns).agg(level, F.sum("amount").alias("amount"))
 
 
 def version_diff(old: DataFrame, new: DataFrame, key: str, columns: list[str]) -> DataFrame:

@@ -15,8 +15,10 @@ from .bindings import (
 from .registry import query
 
 SECTOR, SUB_SECTOR = rules_sql("major")
-DOUBLE = lambda c: F.col(c).cast("double").alias(c)
-N = F.count(F.lit(1)).cast("long").alias("n")
+
+
+def count_n():
+    return F.count(F.lit(1)).cast("long").alias("n")
 
 
 @query("src_06", f"WITH {TEXT_LINES} SELECT doc_id, line_no, line FROM text_lines")
@@ -31,7 +33,7 @@ def src_07(spark, sf_dir):
 
 @query("src_08", "SELECT page_id, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>', 1)) AS href FROM pages) GROUP BY 1")
 def src_08(spark, sf_dir):
-    return readers.links(table(spark, sf_dir, "pages")).groupBy("page_id").agg(N)
+    return readers.links(table(spark, sf_dir, "pages")).groupBy("page_id").agg(count_n())
 
 
 @query("flt_01", "SELECT p_partkey, p_name FROM part WHERE contains(p_name, '1') OR contains(p_name, '77')")
@@ -47,7 +49,7 @@ def flt_04(spark, sf_dir):
 
 @query("flt_07", f"WITH {LINES} SELECT fy, count(*) AS n FROM lines WHERE CAST(substr(fy, 1, 4) AS INT) BETWEEN 1996 AND 1998 GROUP BY 1")
 def flt_07(spark, sf_dir):
-    return budget_lines(spark, sf_dir).where(fiscal.fy_start(F.col("fy")).between(1996, 1998)).groupBy("fy").agg(N)
+    return budget_lines(spark, sf_dir).where(fiscal.fy_start(F.col("fy")).between(1996, 1998)).groupBy("fy").agg(count_n())
 
 
 @query("flt_08", f"WITH {STATEMENTS} SELECT regexp_extract(name_cell, '^[^.]*\\.(.*)$', 1) AS name FROM statements WHERE regexp_matches(name_cell, '[0-9]') AND contains(name_cell, '.')")
@@ -122,7 +124,7 @@ def agg_01(spark, sf_dir):
 
 @query("agg_02", f"WITH {LINES} SELECT fy, CAST(sum(amount) AS DOUBLE) AS total, count(*) AS n FROM lines GROUP BY 1")
 def agg_02(spark, sf_dir):
-    return budget_lines(spark, sf_dir).groupBy("fy").agg(F.sum("amount").cast("double").alias("total"), N)
+    return budget_lines(spark, sf_dir).groupBy("fy").agg(F.sum("amount").cast("double").alias("total"), count_n())
 
 
 ROLLUP = f"WITH {LINES}, named AS (SELECT state, fy, {SECTOR} AS sector, {SUB_SECTOR} AS sub_sector, amount FROM lines WHERE col_type = 'be' AND amount <> 0) SELECT state, fy, sector, sub_sector, CAST(grouping(sector) * 2 + grouping(sub_sector) AS INT) AS level, CAST(sum(amount) AS DOUBLE) AS amount FROM named GROUP BY GROUPING SETS ((state, fy, sector, sub_sector), (state, fy, sector), (state, fy))"
@@ -156,12 +158,12 @@ def fiscal_gsdp():
 
 @query("agg_12", f"WITH {HEADS} SELECT kind, count(*) AS n FROM heads GROUP BY 1")
 def agg_12(spark, sf_dir):
-    return heads(spark, sf_dir).groupBy("kind").agg(N)
+    return heads(spark, sf_dir).groupBy("kind").agg(count_n())
 
 
 @query("agg_13", f"WITH {EVENTS} SELECT action, CAST(day(ts) AS INT) AS day, count(*) AS n FROM slips GROUP BY 1, 2")
 def agg_13(spark, sf_dir):
-    return slip_events(spark, sf_dir).groupBy("action", F.dayofmonth("ts").alias("day")).agg(N)
+    return slip_events(spark, sf_dir).groupBy("action", F.dayofmonth("ts").alias("day")).agg(count_n())
 
 
 @query("agg_14", f"WITH {PROBES} SELECT state, count(*) AS total, count(CASE WHEN lang = 'en' THEN 1 END) AS en, count(CASE WHEN lang = 'fr' THEN 1 END) AS fr FROM probes GROUP BY 1")
@@ -224,7 +226,7 @@ def win_04(spark, sf_dir):
 
 @query("win_05", f"WITH {LINES}, c AS (SELECT state, fy, col_type, count(*) AS n FROM lines GROUP BY 1, 2, 3) SELECT fy, col_type, state, n FROM (SELECT *, row_number() OVER (PARTITION BY fy, col_type ORDER BY n DESC, state) AS r FROM c) WHERE r = 1")
 def win_05(spark, sf_dir):
-    counts = budget_lines(spark, sf_dir).groupBy("state", "fy", "col_type").agg(N)
+    counts = budget_lines(spark, sf_dir).groupBy("state", "fy", "col_type").agg(count_n())
     return rel.first_per(counts, ["fy", "col_type"], [F.desc("n"), "state"]).select("fy", "col_type", "state", "n")
 
 

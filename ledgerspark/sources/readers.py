@@ -32,7 +32,7 @@ def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_grid(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
     """Headerless CSV: file, row_no, cells. Rows are numbered in their file."""
-    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("doc_id"), F.posexplode(F.split(F.rtrim("value"), "\r?\n")).alias("row_no", "line"))
+    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("doc_id"), F.posexplode(F.split(F.regexp_replace("value", "[\\r\\n]+$", ""), "\r?\n")).alias("row_no", "line"))
     return rows.where(F.col("row_no") >= skip).select("doc_id", "row_no", F.transform(F.split("line", ","), lambda c: F.nullif(F.trim(c), F.lit(""))).alias("cells"))
 
 

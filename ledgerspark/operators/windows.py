@@ -42,21 +42,31 @@ def anchored_groups(df: DataFrame, keys: list[str], position: str, gap: float) -
 def replay(events: DataFrame, order: list[str]) -> DataFrame:
     """Current code list after INSERT, RENAME and DELETE in order: code, label of the codes that are live.
 
-    A code is live if its last INSERT or DELETE is an INSERT. Its label is that of the last INSERT or RENAME from there
-    on. A RENAME or DELETE of an absent code does nothing. One aggregate per code with a partial step, no sort.
+    A code is live if an INSERT follows its last DELETE. The first such INSERT makes it; later ones clash with a live
+    code and are rejected (``rejected_inserts``). Its label is that of the last RENAME after that INSERT, else the
+    INSERT's. A RENAME or DELETE of an absent code does nothing. Aggregates per code with a partial step, no sort; what
+    is joined to the events is one row per code.
     """
     at = F.struct(*order)
-    own = events.where(F.col("action").isin("INSERT", "DELETE", "RENAME"))
-    state = own.groupBy("code").agg(
-        F.max(F.when(F.col("action") == "INSERT", F.struct(at.alias("at"), F.col("label")))).alias("ins"),
-        F.max(F.when(F.col("action") == "DELETE", at)).alias("del"),
-        F.max(F.when(F.col("action") == "RENAME", F.struct(at.alias("at"), F.col("label")))).alias("ren"),
+    own = events.where(F.col("action").isin("INSERT", "DELETE", "RENAME")).select("code", "action", "label", at.alias("at"))
+    kind = lambda a: F.col("action") == a
+    gone = own.where(kind("DELETE")).groupBy("code").agg(F.max("at").alias("gone"))
+    later = own.where(~kind("DELETE")).join(gone, "code", "left").where(F.col("gone").isNull() | (F.col("at") > F.col("gone")))
+    state = later.groupBy("code").agg(
+        F.min(F.when(kind("INSERT"), F.struct("at", "label"))).alias("ins"),
+        F.max(F.when(kind("RENAME"), F.struct("at", "label"))).alias("ren"),
     )
-    live = state.where(F.col("ins").isNotNull() & (F.col("del").isNull() | (F.col("ins.at") > F.col("del"))))
-    # the first of several INSERTs after the last DELETE makes the code; later ones would clash and are rejected
+    live = state.where(F.col("ins").isNotNull())
     return live.select("code", F.when(F.col("ren.at") > F.col("ins.at"), F.col("ren.label")).otherwise(F.col("ins.label")).alias("label"))
 
 
+def rejected_inserts(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """INSERTs of codes that are live already: those whose last INSERT or DELETE before is an INSERT."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    own = events.where(F.col("action").isin("INSERT", "DELETE")).withColumn("__before", F.lag("action").over(w))
+    return own.where((F.col("action") == "INSERT") & (F.col("__before") == "INSERT")).drop("__before")
+
+
 def vocabulary(events: DataFrame, order: list[str]) -> DataFrame:
     """code, pref_label, deprecated: a DELETE only deprecates, the last RENAME names, else the first label seen."""
     at = F.struct(*order)
@@ -70,3 +80,12 @@ def flow_nodes(subsectors: DataFrame, keys: list[str], sector_rank) -> DataFrame
     """Node numbers by first appearance: sectors in their fixed order, values falling; the pool is 0."""
     order = Window.partitionBy(*keys).orderBy(sector_rank, F.desc("amount"), "sub_sector")
     return subsectors.withColumn("node", F.row_number().over(order))
+
+
+def binned_words(df: DataFrame, keys: list[str], x: str, word: str, bins: list[tuple[float, str]], rest: str) -> DataFrame:
+    """``keys``, bin, words: words of a line by column, in order of their position; each bin ends below its bound."""
+    name = None
+    for bound, label in bins:
+        name = F.when(F.col(x) < bound, label) if name is None else name.when(F.col(x) < bound, label)
+    parts = F.array_sort(F.collect_list(F.struct(F.col(x).alias("x"), F.col(word).alias("w"))))
+    return df.groupBy(*keys, name.otherwise(rest).alias("bin")).agg(F.array_join(F.transform(parts, lambda p: p["w"].cast("string")), " ").alias("words"))

@@ -246,7 +246,14 @@ def win_10(spark, sf_dir):
     return win.anchored_groups(table(spark, sf_dir, "events"), ["user_id"], "value", 3.0)
 
 
-REPLAY = f"WITH {EVENTS}, i AS (SELECT code, max((ts, event_id)) AS at FROM slips WHERE action = 'INSERT' GROUP BY 1), d AS (SELECT code, max((ts, event_id)) AS at FROM slips WHERE action = 'DELETE' GROUP BY 1), n AS (SELECT s.code, s.label, row_number() OVER (PARTITION BY s.code ORDER BY s.ts DESC, s.event_id DESC) AS r FROM slips s JOIN i ON s.code = i.code AND s.action IN ('INSERT', 'RENAME') AND (s.ts, s.event_id) >= i.at) SELECT i.code, n.label FROM i LEFT JOIN d ON i.code = d.code JOIN n ON n.code = i.code AND n.r = 1 WHERE d.at IS NULL OR i.at > d.at"
+REPLAY = f"""WITH {EVENTS}, d AS (SELECT code, max((ts, event_id)) AS at FROM slips WHERE action = 'DELETE' GROUP BY 1), l AS (SELECT s.* FROM slips s LEFT JOIN d ON s.code = d.code WHERE s.action IN ('INSERT', 'RENAME') AND (d.at IS NULL OR (s.ts, s.event_id) > d.at)),
+i AS (SELECT code, min((ts, event_id)) AS at, arg_min(label, (ts, event_id)) AS label FROM l WHERE action = 'INSERT' GROUP BY 1), n AS (SELECT l.code, arg_max(l.label, (l.ts, l.event_id)) AS label FROM l JOIN i ON l.code = i.code WHERE l.action = 'RENAME' AND (l.ts, l.event_id) > i.at GROUP BY 1)
+SELECT i.code, coalesce(n.label, i.label) AS label FROM i LEFT JOIN n ON i.code = n.code"""
+
+
+@query("win_12_rejects", f"WITH {EVENTS} SELECT code, event_id FROM (SELECT *, lag(action) OVER (PARTITION BY code ORDER BY ts, event_id) AS before FROM slips WHERE action IN ('INSERT', 'DELETE')) WHERE action = 'INSERT' AND before = 'INSERT'")
+def win_12_rejects(spark, sf_dir):
+    return win.rejected_inserts(slip_events(spark, sf_dir), ["code"], ["ts", "event_id"]).select("code", "event_id")
 
 
 @query("win_12", REPLAY)
@@ -345,7 +352,7 @@ def job_19(spark, sf_dir):
     return probes(spark, sf_dir).where("chars is not null").select("doc_id", F.length(text).cast("long").alias("n_chars"), F.substring(text, 1, 500).alias("sample"), values.has_script(text, "[éèêç]").alias("has_script"), values.signal(text, ["cut"]).cast("long").alias("score"))
 
 
-@query("job_23", "SELECT page_id, pos - 1 AS pos, href FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>', 1)) AS href, unnest(range(1, len(regexp_extract_all(html, '(?s)<a[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>', 1)) + 1)) AS pos FROM pages) WHERE contains(href, '2')")
+@query("job_23", "SELECT page_id, pos - 1 AS pos, href FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>', 1)) AS href, unnest(range(1, len(regexp_extract_all(html, '(?s)<a[^>]*href=\"([^\"]*)\"[^>]*>(.*?)</a>', 1)) + 1)) AS pos FROM pages) WHERE contains(href, 'the') OR contains(href, 'des')")
 def job_23(spark, sf_dir):
-    rows = readers.links(table(spark, sf_dir, "pages"), F.exists(F.array(F.lit("2"), F.lit("2_")), lambda v: F.col("href").contains(v)))
+    rows = readers.links(table(spark, sf_dir, "pages"), F.exists(F.array(F.lit("the"), F.lit("des")), lambda v: F.col("href").contains(v)))
     return rows.select("page_id", F.col("pos").cast("long").alias("pos"), "href")

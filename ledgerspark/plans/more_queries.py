@@ -244,10 +244,11 @@ def set_02(spark, sf_dir):
     return into.unionByName(out.select(pool.alias("source"), "target", "amount"))
 
 
-@query("set_04", f"WITH {HEAD_ROWS} SELECT DISTINCT parent_code AS code FROM hc WHERE parent_code IS NOT NULL AND kind = 'minor' EXCEPT SELECT code FROM hc WHERE kind = 'submajor'")
+@query("set_04", f"WITH {HEAD_ROWS} SELECT DISTINCT parent_code AS code FROM hc WHERE parent_code IS NOT NULL AND kind = 'minor' EXCEPT SELECT code FROM hc WHERE kind = 'submajor' AND code NOT LIKE '%2'")
 def set_04(spark, sf_dir):
     rows = jobs.labelled_heads(head_rows(spark, sf_dir))
-    return rel.missing_parents(rows.where("kind <> 'major'").withColumn("parent_code", F.when(F.col("kind") == "minor", F.col("parent_code"))))
+    kept = "kind = 'minor' OR kind = 'submajor' AND code NOT LIKE '%2'"
+    return rel.missing_parents(rows.where(kept).withColumn("parent_code", F.when(F.col("kind") == "minor", F.col("parent_code"))))
 
 
 @query("snk_07", f"WITH {LINES}, s AS (SELECT state, fy, {SECTOR} AS sector, sum(amount) AS amount FROM lines GROUP BY ALL) SELECT state, fy, '{{\"sectors\":[' || string_agg('{{\"sector\":\"' || sector || '\",\"amount\":' || amount || '}}', ',' ORDER BY sector) || ']}}' AS payload FROM s GROUP BY 1, 2")

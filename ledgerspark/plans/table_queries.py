@@ -36,9 +36,9 @@ def src_08(spark, sf_dir):
     return readers.links(table(spark, sf_dir, "pages")).groupBy("page_id").agg(count_n())
 
 
-@query("flt_01", "SELECT p_partkey, p_name FROM part WHERE contains(p_name, '1') OR contains(p_name, '77')")
+@query("flt_01", "SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring') OR contains(p_name, 'blue')")
 def flt_01(spark, sf_dir):
-    return table(spark, sf_dir, "part").where(values.contains_any(F.col("p_name"), ["1", "77"])).select("p_partkey", "p_name")
+    return table(spark, sf_dir, "part").where(values.contains_any(F.col("p_name"), ["ring", "blue"])).select("p_partkey", "p_name")
 
 
 @query("flt_04", "SELECT o_orderkey FROM orders WHERE o_orderpriority IS NOT NULL AND NOT contains(o_orderpriority, 'Net') AND TRY_CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) IS NOT NULL")

@@ -11,7 +11,7 @@ from .common import staged
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Smallest label reachable from each node.
 
-    ``nodes``: node (long, unique), label (an orderable struct whose field ``node`` is the node that it came from).
+    ``nodes``: node (long, unique), label (a struct of longs, among them ``node``, the node that it came from).
     ``edges``: a, b (long), in either direction, repeated or not. Returns node, label for every node.
 
     Each round takes the smallest label among a node and its neighbours and then the label of the node that this label
@@ -39,8 +39,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             nearest.join(root, F.col("label.node") == F.col("root")).select("node", F.col("root_label").alias("label")),
             "labels",
         )
-        # labels only ever fall, so an unchanged number of nodes with unchanged roots and sum means that none fell
-        now = labels.agg(F.sum(F.col("label.node").cast("decimal(38,0)")), F.countDistinct("label.node")).first()
+        # labels only ever fall: if the first field's sum stays, none of that field fell, then the same for the next
+        now = labels.agg(*[F.sum(F.col(f"label.{part}").cast("decimal(20,0)")) for part in labels.schema["label"].dataType.names]).first()
         if now == before:
             break
         before = now

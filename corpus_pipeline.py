@@ -11,7 +11,7 @@ from ledgerspark.llm.packing import WORD_BPE, pack
 from ledgerspark.llm.quality_model import kept_by_model
 from ledgerspark.llm.quality_rules import kept_by_rules
 from ledgerspark.llm.secrets import redacted
-from ledgerspark.llm.simhash import deduplicated
+from ledgerspark.llm.shingles import without_near_copies
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component, by the operator's shingles of three words and links of two bits."""
-    return deduplicated(docs)
+    """One document of each component of texts whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return without_near_copies(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,8 +20,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that base and learned rules keep."""
-    return kept_by_rules(docs, labelled(spark, sf_dir, "quality"))
+    """Documents that base and learned rules keep. Learned from all labelled documents: the stage before leaves few bad ones."""
+    return kept_by_rules(docs, labelled(spark, sf_dir, "quality"), documents(spark, sf_dir))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,22 +160,24 @@ def verdict(rules: list[list[Condition]]) -> Column:
     return out.otherwise(F.lit(0))
 
 
-def ruled(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -> tuple[DataFrame, list[list[Condition]]]:
+def ruled(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, sample: DataFrame | None = None) -> tuple[DataFrame, list[list[Condition]]]:
     """Statistics of every row of ``docs`` with base_failed, rule (number of the first that fires, else 0) and kept; and
-    the rules, learned from ``labels`` (doc_id, y). Rows that fail the base are left out of learning.
+    the rules, learned from ``labels`` (doc_id, y). Rows that fail the base are left out of learning. The rules are
+    learned from the labelled rows of ``sample`` if it is given, else from those of ``docs``.
 
     A null text counts as empty, so it fails the base. Repeated rows get the same verdict. No rows give no rows, no
     labels no rules. Other columns are ignored. Labels are joined to statistics, not texts.
     """
     rows = staged(statistics(docs, carry), "statistics")
-    known = rows.join(labels, "doc_id").where(~F.col("base_failed")).select(*FEATURES, "y", (fold() != 3).alias("grow"))
-    rules = learn(known)
+    known = rows if sample is None else statistics(sample, ["doc_id"]).drop("doc")
+    known = known.join(labels, "doc_id").where(~F.col("base_failed")).select(*FEATURES, "y", (fold() != 3).alias("grow"))
+    rules = learn(known if sample is None else staged(known, "sample"))
     return rows.withColumn("rule", verdict(rules)).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)), rules
 
 
-def kept_by_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that base and rules keep, with all their columns."""
-    return ruled(docs, labels)[0].where("kept").select("doc.*")
+def kept_by_rules(docs: DataFrame, labels: DataFrame, sample: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that base and rules keep, with all their columns. ``sample`` as in ``ruled``."""
+    return ruled(docs, labels, sample=sample)[0].where("kept").select("doc.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,27 +17,64 @@ WHITESPACE = "\\x20\\x09-\\x0D"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the setting is absent, as in local tests, one folder is made and kept for the session.
+    Where the setting is absent, one folder is made and kept for the session; on a cluster that would be a different
+    one on each machine, so there it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+#: Staged folders of each open ``scratch`` block, innermost last.
+OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged in this block is removed at its end, but for tables staged with ``keep``: those belong to the
+    block around it. No other table may leave the block unless it has been read by then."""
+    OPEN.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in OPEN.pop():
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     This cuts the lineage: what follows doesn't depend on shuffle files of executors that may be lost, and values such
-    as row ids stay the same however often the result is read.
+    as row ids stay the same however often the result is read. Inside a ``scratch`` block the folder goes with the block.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if keep:
+        if len(OPEN) > 1:
+            OPEN[-2].append(path)
+    elif OPEN:
+        OPEN[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def column(name: str) -> Column:
+    """The column of that very name, whatever characters are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_row(names: Sequence[str]) -> Column:
+    """A struct of the columns ``names``. Fields inside it can't clash with columns beside it; one without fields gets
+    an unused one, as Parquet needs it."""
+    return F.struct(*[column(n).alias(n) for n in names]) if names else F.struct(F.lit(0).alias("none"))
+
+
 def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, although ``body`` uses it many times or in a lambda."""
     return F.get(F.transform(F.array(value), body), 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import scratch, staged
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -26,19 +26,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     linked = staged(nodes.join(both.select(F.col("src").alias("node")).distinct(), "node", "left_semi"), "labels")
     labels, before = linked, None
     while True:
-        heard = both.join(labels, F.col("src") == F.col("node")).groupBy("dst").agg(F.min("label").alias("label"))
-        nearest = staged(
-            labels.select("node", "label")
-            .unionByName(heard.select(F.col("dst").alias("node"), "label"))
-            .groupBy("node")
-            .agg(F.min("label").alias("label")),
-            "labels",
-        )
-        root = nearest.select(F.col("node").alias("root"), F.col("label").alias("root_label"))
-        labels = staged(
-            nearest.join(root, F.col("label.node") == F.col("root")).select("node", F.col("root_label").alias("label")),
-            "labels",
-        )
+        with scratch(nodes.sparkSession):
+            labels = jumped(both, labels)
         # labels only ever fall: if the first field's sum stays, none of that field fell, then the same for the next
         now = labels.agg(*[F.sum(F.col(f"label.{part}").cast("decimal(20,0)")) for part in labels.schema["label"].dataType.names]).first()
         if now == before:
@@ -46,3 +35,21 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         before = now
     rest = nodes.join(labels.select("node"), "node", "left_anti")
     return rest.select("node", "label").unionByName(labels.select("node", "label"))
+
+
+def jumped(both: DataFrame, labels: DataFrame) -> DataFrame:
+    """One round: the smallest label heard, then that of the node which it came from."""
+    heard = both.join(labels, F.col("src") == F.col("node")).groupBy("dst").agg(F.min("label").alias("label"))
+    nearest = staged(
+        labels.select("node", "label")
+        .unionByName(heard.select(F.col("dst").alias("node"), "label"))
+        .groupBy("node")
+        .agg(F.min("label").alias("label")),
+        "labels",
+    )
+    root = nearest.select(F.col("node").alias("root"), F.col("label").alias("root_label"))
+    return staged(
+        nearest.join(root, F.col("label.node") == F.col("root")).select("node", F.col("root_label").alias("label")),
+        "labels",
+        keep=True,
+    )

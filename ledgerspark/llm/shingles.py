@@ -1,4 +1,5 @@
-"""Near copies by word shingles: MinHash bands propose pairs, the shingle sets of both texts decide, components."""
+"""Near copies by word shingles: SimHash blocks and MinHash bands propose pairs, the shingle sets of both texts decide,
+components."""
 
 from __future__ import annotations
 
@@ -7,9 +8,9 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import scratch, staged, whole_row
 from .components import connected_components
-from .simhash import NO_ID
+from .simhash import NO_ID, links, majority
 
 #: Words in a shingle; shared shingles of all shingles of two texts (a fraction) from which they are near copies.
 WORDS, SHARED, OF = 5, 4, 5
@@ -34,14 +35,15 @@ def near(a: set[bytes], b: set[bytes]) -> bool:
     return both * OF >= SHARED * (len(a) + len(b) - both)
 
 
-def sketch(text: bytes, words: int = WORDS) -> tuple[int, list[int]]:
-    """A digest of the shingle set and one key for each band (signed longs). No words: digest 0 and no keys."""
+def sketch(text: bytes, words: int = WORDS) -> tuple[int, int, list[int]]:
+    """A digest of the shingle set, its SimHash fingerprint and one key for each band (signed longs). No words: zeros and
+    no keys."""
     import numpy as np
     import xxhash
 
     found = shingles(text, words)
     if not found:
-        return 0, []
+        return 0, 0, []
     hashes = np.array(sorted(xxhash.xxh64_intdigest(s, SEED) for s in found), np.uint64)
     random = np.random.default_rng(SEED)
     flip, odd = (random.integers(0, 1 << 64, ROWS * BANDS, np.uint64) for _ in range(2))
@@ -49,12 +51,12 @@ def sketch(text: bytes, words: int = WORDS) -> tuple[int, list[int]]:
     for first in range(0, len(hashes), 1024):
         low = np.minimum(low, ((hashes[first : first + 1024, None] ^ flip) * (odd | np.uint64(1))).min(axis=0))
     keys = [xxhash.xxh64_intdigest(low[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)]
-    signed = [x - (1 << 64) if x >> 63 else x for x in (xxhash.xxh64_intdigest(hashes.tobytes(), SEED), *keys)]
-    return signed[0], signed[1:]
+    digest, *signed = [x - (1 << 64) if x >> 63 else x for x in (xxhash.xxh64_intdigest(hashes.tobytes(), SEED), *keys)]
+    return digest, majority(hashes), signed
 
 
 def with_sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``docs`` with columns ``node`` (the digest) and ``keys``, without ``text``."""
+    """``docs`` with columns ``node`` (the digest), ``fp`` and ``keys``, without ``text``."""
     from pyspark.sql.types import ArrayType, LongType, StructType
 
     kept = [name for name in docs.columns if name != "text"]
@@ -64,19 +66,25 @@ def with_sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).cast(pa.large_binary())
-            found = [sketch(t.as_py() or b"", words) for t in texts]
-            new = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(k)) for k in kept], *new], [*kept, "node", "keys"])
+            found = list(zip(*(sketch(t.as_py() or b"", words) for t in texts), strict=True)) or [(), (), ()]
+            new = [pa.array(f, kind) for f, kind in zip(found, (pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.get_field_index(k)) for k in kept], *new], [*kept, "node", "fp", "keys"])
 
-    return docs.mapInArrow(add, StructType([docs.schema[k] for k in kept]).add("node", LongType()).add("keys", ArrayType(LongType())))
+    schema = StructType([docs.schema[k] for k in kept]).add("node", LongType()).add("fp", LongType()).add("keys", ArrayType(LongType()))
+    return docs.mapInArrow(add, schema)
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose texts are ``near``. Texts come from the row that stands for each node."""
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def texts_of(ids: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """node, text of the nodes in ``ids`` (node, unique): the text of the row that stands for each."""
     ids = staged(nodes.join(ids, "node", "left_semi").select("node", F.col("label.row_id").alias("row_id")), "compared")
     ids = F.broadcast(ids) if ids.count() <= IDS else ids
-    texts = staged(rows.select("row_id", F.col("doc.text").alias("text")).join(ids, "row_id").select("node", "text"), "texts")
+    return staged(rows.select("row_id", F.col("doc.text").alias("text")).join(ids, "row_id").select("node", "text"), "texts")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose texts are ``near``."""
+    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = texts_of(ids, nodes, rows)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
     texts = F.broadcast(texts) if (size or 0) <= BYTES else texts
     sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
@@ -106,37 +114,113 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int = W
     return staged(sides.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "near")
 
 
-def labelled_components(rows: DataFrame, words: int = WORDS) -> DataFrame:
-    """node, label of every different shingle set in ``rows`` (doc with text, doc_id, row_id, node, keys).
+def ordered(pairs: DataFrame) -> DataFrame:
+    """Different pairs a < b of ``pairs`` (a, b)."""
+    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """a, b of nodes (node, fp) whose fingerprints are within two bits, as a pigeonhole join on blocks finds them: of
+    equal fingerprints each with the smallest node, and these with each other."""
+    first = staged(nodes.groupBy("fp").agg(F.min("node").alias("rep")), "reps")
+    equal = nodes.join(first, "fp").select(F.col("rep").alias("a"), F.col("node").alias("b"))
+    side = lambda name, rep: first.select(F.col("fp").alias(name), F.col("rep").alias(rep))
+    return equal.unionByName(links(first.select("fp")).join(side("a", "x"), "a").join(side("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
+
+
+def prefixes(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """h, node, part, n, own, pos: the shingles (hashed) of ``texts`` (node, part, text) that a near copy must share one
+    of, with the size of the set and the shingle's place in it, rarest first.
+
+    A near copy shares four fifths of a set, so it holds one of its first n - ceil(4n / 5) + 1 shingles in any order
+    that is the same for all sets. In the order of rarity these are the text's own edits; ``own`` of them occur in no
+    other text and so are left out.
+    """
 
-    Nodes that share a band's key are in one bucket. First each is compared with the smallest and the largest of its
-    bucket, which is as much work as there are members and joins nearly all copies. Then every pair in a bucket that is
-    in different components still is compared. Pairs within a component can't change it, so no link is lost that the
-    bands propose, however large a bucket.
+    def hashed(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import xxhash
+
+        for batch in batches:
+            found = [{xxhash.xxh64_intdigest(s, SEED) for s in shingles(t.as_py() or b"", words)} for t in batch.column(2).cast(pa.large_binary())]
+            signed = [[h - (1 << 64) if h >> 63 else h for h in f] for f in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signed, pa.list_(pa.int64()))], ["node", "part", "hs"])
+
+    sets = texts.select("node", "part", "text").mapInArrow(hashed, "node long, part long, hs array<long>")
+    each = staged(sets.select("node", "part", F.size("hs").alias("n"), F.explode("hs").alias("h")), "tokens")
+    counts = staged(each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
+    lists = each.join(counts, "h").groupBy("node", "part", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
+    lists = lists.withColumn("own", F.col("n") - F.size("s"))
+    length = F.col("n") - F.ceil(F.col("n") * SHARED / OF) + 1 - F.col("own")
+    heads = lists.where(length > 0).select("node", "part", "n", "own", F.posexplode(F.slice("s", F.lit(1), length.cast("int"))).alias("at", "x"))
+    return staged(heads.select("x.h", "node", "part", "n", "own", (F.col("own") + F.col("at")).alias("pos")), "prefixes")
+
+
+def possible(a: str, b: str):
+    """Whether entries ``a`` and ``b`` of ``prefixes`` for one shingle, the first that they share, may be near copies in
+    different components: by their sizes, and by what comes after the shingle in both."""
+    x = lambda c: F.col(f"{a}.{c}")
+    y = lambda c: F.col(f"{b}.{c}")
+    sizes = (OF * x("n") >= SHARED * y("n")) & (OF * y("n") >= SHARED * x("n"))
+    shared = F.least(x("n") - x("pos"), y("n") - y("pos"))
+    return (x("part") != y("part")) & sizes & ((SHARED + OF) * shared >= SHARED * (x("n") + y("n")))
+
+
+def pairs_across(entries: DataFrame, central: bool) -> DataFrame:
+    """Pairs of nodes in different components that share a shingle of their prefixes and may be near copies: all, or
+    only each with the most central one of the shingle, that is the one with fewest shingles of its own."""
+    entry = F.struct("own", "node", "part", "n", "pos")
+    each = entries.select("h", entry.alias("e"))
+    other = each.groupBy("h").agg(F.min("e").alias("o")) if central else each.withColumnRenamed("e", "o")
+    met = each.join(other, "h").where(possible("e", "o"))
+    return ordered(met.select(F.col("e.node").alias("a"), F.col("o.node").alias("b")))
+
+
+def with_parts(df: DataFrame, labels: DataFrame) -> DataFrame:
+    """``df`` (node, ...) with the component of each node as ``part``."""
+    return df.join(labels.select("node", F.col("label.node").alias("part")), "node")
+
+
+def labelled_components(rows: DataFrame, words: int = WORDS) -> DataFrame:
+    """node, label of every different shingle set in ``rows`` (doc with text, doc_id, row_id, node, fp, keys).
+
+    First those within two bits of SimHash are compared, and each with the smallest and the largest node of each of its
+    MinHash buckets, which is as much work as there are members and joins nearly all copies. Nodes of buckets that hold
+    several components still are then compared by the rare shingles that near copies must share (``prefixes``): with the
+    most central node of each such shingle first, then all pairs that are in different components still. Pairs within a
+    component can't change it, and a large bucket is never compared with itself, so no link is lost that the bands
+    propose, however large a bucket.
     """
     first = F.min(F.struct(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("d"), F.col("row_id"), F.col("node")))
-    nodes = staged(rows.groupBy("node").agg(first.alias("label")), "nodes")
+    nodes = staged(rows.groupBy("node").agg(first.alias("label"), F.first("fp").alias("fp")), "nodes")
     keyed = rows.select("node", F.explode("keys").alias("key"))
     several = staged(keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high"), "buckets")
     members = staged(keyed.join(several, "key").distinct(), "members")
-    ends = members.where("low < node").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    ends = staged(ends.unionByName(members.where("node < high").select(F.col("node").alias("a"), F.col("high").alias("b"))).distinct(), "ends")
-    edges = verified(ends, nodes, rows, words)
-    labels = staged(connected_components(nodes, edges), "components")
+    ends = members.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(members.select(F.col("node").alias("a"), F.col("high").alias("b")))
+    edges = verified(staged(ordered(ends.unionByName(fingerprint_pairs(nodes.select("node", "fp")))), "ends"), nodes, rows, words)
+    labels = staged(connected_components(nodes.select("node", "label"), edges), "components")
 
-    parts = staged(members.select("key", "node").join(labels.select("node", F.col("label.node").alias("part")), "node"), "parts")
+    parts = with_parts(members.select("key", "node"), labels)
     mixed = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")
-    open_ = staged(parts.join(mixed, "key", "left_semi"), "open")
-    others = open_.select("key", F.col("node").alias("b"), F.col("part").alias("other"))
-    pairs = open_.withColumnRenamed("node", "a").join(others, "key").where((F.col("a") < F.col("b")) & (F.col("part") != F.col("other"))).select("a", "b").distinct()
-    more = verified(staged(pairs.join(ends, ["a", "b"], "left_anti"), "pairs"), nodes, rows, words)
-    return labels if more.isEmpty() else connected_components(nodes, edges.unionByName(more))
+    open_ = staged(members.join(mixed, "key", "left_semi").select("node").distinct(), "open")
+    if open_.isEmpty():
+        return labels
+    entries = prefixes(with_parts(texts_of(open_, nodes, rows), labels), words)
+    for central in (True, False):
+        more = verified(staged(pairs_across(entries, central), "pairs"), nodes, rows, words)
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            labels = staged(connected_components(nodes.select("node", "label"), edges), "components")
+            entries = with_parts(entries.drop("part"), labels)
+    return labels
 
 
 def without_near_copies(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` with one row of each component of near copies: the one of the smallest doc_id, the first of equals. All
     columns stay. Texts without words are copies of each other. No rows give no rows."""
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
+    spark = docs.sparkSession
+    rows = docs.select(whole_row(docs.columns).alias("doc"), "doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
     rows = staged(with_sketches(rows, words), "sketched")
-    roots = labelled_components(rows, words).select(F.col("label.row_id").alias("row_id")).distinct()
+    with scratch(spark):
+        roots = staged(labelled_components(rows, words).select(F.col("label.row_id").alias("row_id")).distinct(), "roots", keep=True)
     return rows.join(roots, "row_id", "left_semi").select("doc.*")

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, staged
+from .common import documents, scratch, staged, whole_row
 from .components import connected_components
 
 #: Fingerprints in a block's bucket up to which they are compared with each other.
@@ -21,7 +21,6 @@ NO_ID = 2**63 - 1
 
 def fingerprint_words(text: bytes, words: int = WORDS) -> int:
     """The fingerprint of one UTF-8 text as a signed long; zero if it has no word."""
-    import numpy as np
     import xxhash
 
     # bytes.lower() changes A-Z only, and bytes.split() cuts at U+0009 to U+000D and the space
@@ -37,6 +36,13 @@ def fingerprint_words(text: bytes, words: int = WORDS) -> int:
         starts = [0, *(end + 1 for end in ends[: len(parts) - words])]
         digest = xxhash.xxh64_intdigest
         hashes = [digest(line[start:end], SEED) for start, end in zip(starts, ends[words - 1 :], strict=True)]
+    return majority(hashes)
+
+
+def majority(hashes) -> int:
+    """The bits that are set in over half of ``hashes`` (unsigned), as a signed long."""
+    import numpy as np
+
     counts = np.zeros(64, np.int64)
     for first in range(0, len(hashes), 65536):
         part = np.array(hashes[first : first + 65536], ">u8")
@@ -78,11 +84,8 @@ def links(prints: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFra
     """Links a, b between different fingerprints of ``prints`` (fp, unique) that keep every component whole.
 
     Candidates share two blocks. Buckets of at most ``bucket`` fingerprints are compared in full and every pair is
-    verified. In a larger bucket, pairs could be as many as its square, so close ones are found through what they can
-    both turn into: each fingerprint names itself and what one flipped bit outside of the shared blocks makes of it, and
-    all who name the same value are within two bits of each other and get linked to the smallest of them. Two
-    fingerprints that differ in one or two bits always share such a value, so no link between components is lost.
-    Larger distances than 2 take the flips of ``distance`` // 2 bits, rounded up.
+    verified. In a larger bucket, pairs could be as many as its square, so ``crowded`` links its members through values
+    that they can both be turned into.
     """
     masks = block_masks(distance)
     keyed = prints.select(
@@ -90,7 +93,7 @@ def links(prints: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFra
     ).select("fp", "key.block", "key.value")
     sizes = keyed.groupBy("block", "value").agg(F.count(F.lit(1)).alias("n"))
     several = staged(sizes.where("n > 1"), "buckets")
-    few, many = several.where(F.col("n") <= bucket), several.where(F.col("n") > bucket)
+    many = several.where(F.col("n") > bucket)
     near = staged(keyed.join(several, ["block", "value"]), "keyed")
     left = near.where(F.col("n") <= bucket)
     right = left.select("block", "value", F.col("fp").alias("other"))
@@ -102,18 +105,27 @@ def links(prints: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFra
 
 
 def crowded(near: DataFrame, masks: list[int], distance: int) -> DataFrame:
-    """Links inside buckets that are too large to compare all their pairs. ``near``: fp, block, value."""
+    """Links inside buckets that are too large to compare all their pairs. ``near``: fp, block, value.
+
+    A hub is a value that a fingerprint becomes by flipping bits outside of the shared blocks. Those that reach a hub
+    with ``distance`` // 2 flips are its inner members, those that need one more (if ``distance`` is odd) its outer ones.
+    Two fingerprints within ``distance`` always have a hub of which one is an inner member and the other a member. The
+    smallest inner member is within ``distance`` of every member, so linking all members to it is right and leaves no
+    such pair apart.
+    """
     bits = [F.lit(1 << k if k < 63 else -(1 << 63)) for k in range(64)]
     outside = lambda mask: lambda b: b.bitwiseAND(F.lit(mask)) == 0
-    free = F.array(*[F.filter(F.array(*bits), outside(m)) for m in masks])
-    flips = F.get(free, F.col("block"))
-    named = F.array(F.col("fp"))
-    for _ in range((distance + 1) // 2):
-        named = F.array_distinct(F.concat(named, F.flatten(F.transform(named, lambda x: F.transform(flips, lambda b: x.bitwiseXOR(b))))))
-    hubs = near.select("fp", "block", F.explode(named).alias("hub"))
-    first = hubs.groupBy("block", "hub").agg(F.min("fp").alias("a"), F.max("fp").alias("z")).where("a < z")
-    first = staged(first.select("block", "hub", "a"), "hubs")
-    return hubs.join(first, ["block", "hub"]).where(F.col("fp") != F.col("a")).where(far(F.col("fp"), F.col("a")) <= distance).select("a", F.col("fp").alias("b")).distinct()
+    flips = F.get(F.array(*[F.filter(F.array(*bits), outside(m)) for m in masks]), F.col("block"))
+    wider = lambda ball: F.array_distinct(F.concat(ball, F.flatten(F.transform(ball, lambda x: F.transform(flips, lambda b: x.bitwiseXOR(b))))))
+    inner = F.array("fp")
+    for _ in range(distance // 2):
+        inner = wider(inner)
+    outer = F.array_except(wider(inner), inner) if distance % 2 else F.array().cast("array<bigint>")
+    marked = lambda values, own: F.transform(values, lambda v: F.struct(v.alias("hub"), F.lit(own).alias("inner")))
+    hubs = near.select("fp", "block", F.explode(F.concat(marked(inner, True), marked(outer, False))).alias("h")).select("fp", "block", "h.hub", "h.inner")
+    first = hubs.groupBy("block", "hub").agg(F.min(F.when(F.col("inner"), F.col("fp"))).alias("a"), F.count(F.lit(1)).alias("n"))
+    first = staged(first.where("n > 1 and a is not null").select("block", "hub", "a"), "hubs")
+    return hubs.join(first, ["block", "hub"]).where(F.col("fp") != F.col("a")).select("a", F.col("fp").alias("b")).distinct()
 
 
 def components(rows: DataFrame, distance: int = 2, bucket: int = BUCKET) -> DataFrame:
@@ -133,9 +145,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = 2, buck
     names a component unless no other is in it; then component_id is null. No rows give no rows. Other columns are
     ignored.
     """
+    spark = docs.sparkSession
     rows = docs.select("doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
     rows = staged(with_fingerprints(rows, words).select("doc_id", "row_id", "fingerprint"), "fingerprints")
-    labels = staged(components(rows, distance, bucket), "components").select(F.col("node").alias("fingerprint"), F.col("label.d").alias("d"))
+    with scratch(spark):
+        labels = staged(components(rows, distance, bucket), "components", keep=True)
+    labels = labels.select(F.col("node").alias("fingerprint"), F.col("label.d").alias("d"))
     return rows.join(labels, "fingerprint").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
@@ -145,10 +160,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = 2, buck
 
 def deduplicated(docs: DataFrame, words: int = WORDS, distance: int = 2) -> DataFrame:
     """``docs`` with one row of each component: the one of the smallest doc_id, the first of equals. All columns stay."""
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
+    rows = docs.select(whole_row(docs.columns).alias("doc"), "doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
     rows = staged(with_fingerprints(rows, words).drop("text"), "fingerprinted")
-    labels = components(rows.select("doc_id", "row_id", "fingerprint"), distance)
-    roots = labels.select(F.col("label.row_id").alias("row_id")).distinct()
+    with scratch(docs.sparkSession):
+        labels = components(rows.select("doc_id", "row_id", "fingerprint"), distance)
+        roots = staged(labels.select(F.col("label.row_id").alias("row_id")).distinct(), "roots", keep=True)
     return rows.join(roots, "row_id", "left_semi").select("doc.*")
 
 

@@ -105,7 +105,7 @@ def brute_print(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def brute_components(prints):
+def brute_components(prints, distance=2):
     """Smallest id of each row's component; prints: (id, fingerprint)."""
     parent = list(range(len(prints)))
 
@@ -116,7 +116,7 @@ def brute_components(prints):
 
     for a in range(len(prints)):
         for b in range(a):
-            if bin(prints[a][1] ^ prints[b][1]).count("1") <= 2:
+            if bin(prints[a][1] ^ prints[b][1]).count("1") <= distance:
                 parent[root(a)] = root(b)
     low = {}
     for a, (i, _) in enumerate(prints):
@@ -150,19 +150,29 @@ def test_fingerprint_of_long_text():
 def test_crowded_buckets_lose_no_link(spark):
     rng = random.Random(5)
     prints = {rng.getrandbits(64) for _ in range(40)}
-    while len(prints) < 500:
+    while len(prints) < 400:
         p = rng.choice(sorted(prints))
         for _ in range(rng.choice([1, 2, 2, 3, 4])):
             p ^= 1 << rng.choice([*range(6), 63, 40, 41])
         prints.add(p)
     rows = [(k, k, p - (1 << 64) if p >> 63 else p) for k, p in enumerate(sorted(prints))]
     frame = spark.createDataFrame(rows, "doc_id long, row_id long, fingerprint long")
-    want = {p: c for _, p, c in brute_components([(r[0], r[2] % (1 << 64)) for r in rows])}
-    for bucket in (1, 4, 64, 1000):
-        assert {r.node % (1 << 64): r.label.d for r in components(frame, bucket=bucket).collect()} == want
+    for distance, buckets in ((2, (1, 64)), (1, (4,)), (3, (4,))):
+        want = {p: c for _, p, c in brute_components([(r[0], r[2] % (1 << 64)) for r in rows], distance)}
+        for bucket in buckets:
+            assert {r.node % (1 << 64): r.label.d for r in components(frame, distance, bucket).collect()} == want
     assert len(block_masks(2)) == 6
 
 
+def test_one_bit_links_of_a_dense_set(spark):
+    rng = random.Random(9)
+    prints = sorted(rng.sample(range(1 << 12), 300))
+    frame = spark.createDataFrame([(k, k, p) for k, p in enumerate(prints)], "doc_id long, row_id long, fingerprint long")
+    want = {p: c for _, p, c in brute_components(list(enumerate(prints)), 1)}
+    for bucket in (4, 64):
+        assert {r.node: r.label.d for r in components(frame, 1, bucket).collect()} == want
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(7, 7)], "a long, b long")
     nodes = spark.range(200).select(F.col("id").alias("node"), F.struct((-F.col("id")).alias("d"), F.col("id").alias("node")).alias("label"))

@@ -50,3 +50,22 @@ def test_near_copies_go(spark):
         got = corpus_pipeline.near_dedup(spark, rows, SF)
         assert got.columns == rows.columns
         assert sorted(r.doc_id for r in got.collect()) == brute_kept(rows.collect())
+
+
+def test_a_crowd_that_is_mostly_too_far_apart(spark):
+    """Hundreds of edits of one text and of texts that share a long passage: buckets are large and their pairs are on
+    both sides of the limit."""
+    rng = random.Random(8)
+    base, passage = [f"w{k}" for k in range(160)], [f"p{k}" for k in range(100)]
+    texts = [edited(rng, base, rng.choice([1, 2, 3, 4, 5, 6, 7, 9])) for _ in range(260)]
+    texts += [passage + [f"q{k}_{j}" for j in range(rng.randrange(10, 60))] for k in range(120)]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == brute_kept(docs.collect())
+
+
+def test_names_with_dots_and_clashes(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, 8, "x"), (2, "a b", 9, 1, None), (None, None, None, None, None)], "doc_id long, text string, `a.b` int, node long, `doc` string")
+    got = corpus_pipeline.near_dedup(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert sorted(got.collect(), key=str) == sorted([r for r in docs.collect() if r.doc_id != 2], key=str)

@@ -8,15 +8,15 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITESPACE, bind, documents, staged, text_or_empty
+from .common import WHITESPACE, bind, documents, scratch, staged, text_or_empty, whole_row
 from .labels import fold, labelled
 
 #: Statistics that rules may set thresholds on.
 FEATURES = ["n_words", "word_length", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "exclaim_share", "variety", "line_words"]
-#: Thresholds tried for each statistic, conditions in a rule, rules in a list at most.
-CUTS, CONDITIONS, RULES = 24, 3, 8
+#: Quantiles of each statistic for each label that thresholds lie between, conditions in a rule, rules in a list at most.
+CUTS, CONDITIONS, RULES = 20, 3, 12
 #: What a rule must reach on the pruning fold: rows caught, and share of them labelled as bad.
-SUPPORT, PRECISION = 3, 0.9
+SUPPORT, PRECISION = 3, 0.95
 
 
 class Condition(NamedTuple):
@@ -70,7 +70,7 @@ def statistics(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
 
     words = F.filter(F.split(text, f"[{WHITESPACE}]+"), lambda w: w != "")
     rows = docs.select(
-        F.struct(*(docs.columns if carry is None else carry)).alias("doc"),
+        whole_row(docs.columns if carry is None else carry).alias("doc"),
         F.col("doc_id").cast("long").alias("doc_id"),
         bind(words, of_words).alias("w"),
         bind(lines, of_lines).alias("l"),
@@ -93,52 +93,78 @@ def fires(rule: list[Condition]) -> Column:
     return out
 
 
+def thresholds(rows: DataFrame) -> dict[str, list[float]]:
+    """For each statistic, where rules may cut: the middles between neighbours among the quantiles of rows labelled 0 and
+    of those labelled 1 (each its smallest and largest value included), those of value zero taken apart, as half of
+    all rows and more may have it. A cut thus has room on both sides. Empty if a label is missing."""
+    marks = [k / CUTS for k in range(CUTS + 1)]
+    of = lambda f, y: F.percentile_approx(F.when((F.col("y") == y) & (F.col(f) != 0), F.col(f).cast("double")), marks, 2000).alias(f"{f}_{y}")
+    zero = [F.max((F.col(f) == 0).cast("int")).alias(f"{f}_z") for f in FEATURES]
+    seen = rows.agg(F.min("y").alias("low"), F.max("y").alias("high"), *[of(f, y) for f in FEATURES for y in (0, 1)], *zero).first()
+    if seen["low"] != 0 or seen["high"] != 1:
+        return {}
+    values = {f: sorted({*(seen[f"{f}_0"] or []), *(seen[f"{f}_1"] or []), *([0.0] * seen[f"{f}_z"])}) for f in FEATURES}
+    return {f: [(x + y) / 2 for x, y in zip(v, v[1:], strict=False)] for f, v in values.items()}
+
+
 def learn(rows: DataFrame) -> list[list[Condition]]:
     """A decision list against label 0 from ``rows`` (``FEATURES``, y, grow), by sequential covering.
 
-    A rule grows by the condition of largest FOIL gain over the rows that it and no earlier rule catches, is pruned to
-    the prefix of best precision on the other fold, and stays if it catches ``SUPPORT`` rows there with ``PRECISION``.
-    Counts are taken in Spark over every labelled row, one small aggregate for each step (statistics by thresholds);
-    thresholds are quantiles. No labelled rows, or none of either label, give no rules.
+    A rule grows by the condition of largest FOIL gain over the rows that it and no earlier rule catches (of equal gains
+    the first by statistic, cut, and below before above), is pruned to the prefix of best precision on the other fold
+    (of equal ones the shortest), and stays if it catches ``SUPPORT`` rows there with ``PRECISION``. Otherwise another is
+    grown that doesn't start with the same statistic; the list ends when none stays. Counts are taken in Spark over
+    every labelled row, one small aggregate for each step (statistics by thresholds). No labelled rows, or none of either
+    label, give no rules.
     """
-    marks = [k / (CUTS + 1) for k in range(1, CUTS + 1)]
-    grid = rows.agg(*[F.percentile_approx(f, marks, 2000).alias(f) for f in FEATURES], F.min("y").alias("low"), F.max("y").alias("high")).first()
-    if grid["low"] != 0 or grid["high"] != 1:
+    cuts = thresholds(rows)
+    if not cuts:
         return []
-    cuts = {f: sorted({float(x) for x in grid[f]}) for f in FEATURES}
     below = lambda f: lambda c: c < F.col(f).cast("double")
-    binned = F.array(*[F.size(F.filter(F.array(*[F.lit(c) for c in cuts[f]]), below(f))) for f in FEATURES])
+    binned = F.array(*[F.size(F.filter(F.array(*map(F.lit, cuts[f])).cast("array<double>"), below(f))) for f in FEATURES])
     rows = staged(rows.withColumn("bins", binned), "labelled")
-    free, found = rows, []
+    free, found, failed = rows, [], set()
     while len(found) < RULES:
-        rule = grow(free.where("grow"), cuts)
-        rule = prune(free.where("not grow"), rule)
-        if not rule:
+        grown = grow(free.where("grow"), cuts, failed)
+        if not grown:
             break
-        found.append(rule)
-        free = free.where(~fires(rule))
+        rule = prune(free.where("not grow"), grown)
+        if rule:
+            found.append(rule)
+            free, failed = free.where(~fires(rule)), set()
+        else:
+            failed.add(grown[0].feature)
     return found
 
 
-def grow(rows: DataFrame, cuts: dict[str, list[float]]) -> list[Condition]:
+def gain(bad: int, good: int, all_bad: int, all_good: int) -> float:
+    """What a condition that leaves ``bad`` and ``good`` of so many rows is worth: bad rows kept, times bits of purity won."""
+    return bad * (math.log2(bad / (bad + good)) - math.log2(all_bad / (all_bad + all_good))) if bad else 0.0
+
+
+def grow(rows: DataFrame, cuts: dict[str, list[float]], failed: set[str]) -> list[Condition]:
+    """A rule that doesn't start with a statistic in ``failed``; none if no condition is worth a bit."""
     rule: list[Condition] = []
     while len(rule) < CONDITIONS:
         counts = rows.where(fires(rule)).select("y", F.posexplode("bins").alias("f", "bin")).groupBy("f", "bin").agg(F.sum(1 - F.col("y")).alias("bad"), F.sum("y").alias("good")).collect()
         by = {k: {r["bin"]: (r["bad"], r["good"]) for r in counts if r["f"] == k} for k in range(len(FEATURES))}
         all_bad, all_good = (sum(v[x] for v in by[0].values()) for x in (0, 1))
-        if not all_bad or not all_good:
+        if all_bad < SUPPORT or not all_good:
             break
-        best = (0.0, None)
+        best, chosen = 1.0, None
         for k, feature in enumerate(FEATURES):
+            if not rule and feature in failed:
+                continue
+            low = [0, 0]
             for at, cut in enumerate(cuts[feature]):
                 # a value is in bin b if b cuts are below it
-                low = [sum(v[x] for b, v in by[k].items() if b <= at) for x in (0, 1)]
+                low = [low[x] + by[k].get(at, (0, 0))[x] for x in (0, 1)]
                 for above, (bad, good) in ((False, low), (True, [all_bad - low[0], all_good - low[1]])):
-                    gain = bad * (math.log2(bad / (bad + good)) - math.log2(all_bad / (all_bad + all_good))) if bad else 0.0
-                    best = max(best, (gain, Condition(feature, above, cut)), key=lambda x: x[0])
-        if best[1] is None or best[0] < 1:
+                    if (worth := gain(bad, good, all_bad, all_good)) > best:
+                        best, chosen = worth, Condition(feature, above, cut)
+        if chosen is None:
             break
-        rule.append(best[1])
+        rule.append(chosen)
     return rule
 
 
@@ -147,9 +173,9 @@ def prune(rows: DataFrame, rule: list[Condition]) -> list[Condition]:
         return []
     ends = range(1, len(rule) + 1)
     counts = rows.agg(*[F.count(F.when(fires(rule[:k]) & (F.col("y") == y), 1)).alias(f"n{k}_{y}") for k in ends for y in (0, 1)]).first()
-    worth = {k: (counts[f"n{k}_0"] / max(1, counts[f"n{k}_0"] + counts[f"n{k}_1"]), counts[f"n{k}_0"]) for k in ends if counts[f"n{k}_0"] >= SUPPORT}
-    best = max(worth, key=lambda k: (worth[k][0], -k), default=None)
-    return rule[:best] if best and worth[best][0] >= PRECISION else []
+    worth = {k: counts[f"n{k}_0"] / (counts[f"n{k}_0"] + counts[f"n{k}_1"]) for k in ends if counts[f"n{k}_0"] >= SUPPORT}
+    best = max(worth, key=lambda k: (worth[k], -k), default=None)
+    return rule[:best] if best and worth[best] >= PRECISION else []
 
 
 def verdict(rules: list[list[Condition]]) -> Column:
@@ -160,24 +186,28 @@ def verdict(rules: list[list[Condition]]) -> Column:
     return out.otherwise(F.lit(0))
 
 
-def ruled(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, sample: DataFrame | None = None) -> tuple[DataFrame, list[list[Condition]]]:
+def ruled(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, sample: DataFrame | None = None, base: bool = True) -> tuple[DataFrame, list[list[Condition]]]:
     """Statistics of every row of ``docs`` with base_failed, rule (number of the first that fires, else 0) and kept; and
-    the rules, learned from ``labels`` (doc_id, y). Rows that fail the base are left out of learning. The rules are
-    learned from the labelled rows of ``sample`` if it is given, else from those of ``docs``.
+    the rules, learned from ``labels`` (doc_id, y). kept: no rule fires and, if ``base``, the base didn't fail. The rules
+    are learned from all labelled rows of ``sample`` if it is given, else from those of ``docs``, whatever the base says
+    of them: it fails short texts that are labelled as good.
 
-    A null text counts as empty, so it fails the base. Repeated rows get the same verdict. No rows give no rows, no
-    labels no rules. Other columns are ignored. Labels are joined to statistics, not texts.
+    A null text counts as empty. Repeated rows get the same verdict. No rows give no rows, no labels no rules. Other
+    columns are ignored. Labels are joined to statistics, not texts.
     """
     rows = staged(statistics(docs, carry), "statistics")
-    known = rows if sample is None else statistics(sample, ["doc_id"]).drop("doc")
-    known = known.join(labels, "doc_id").where(~F.col("base_failed")).select(*FEATURES, "y", (fold() != 3).alias("grow"))
-    rules = learn(known if sample is None else staged(known, "sample"))
-    return rows.withColumn("rule", verdict(rules)).withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0)), rules
-
-
-def kept_by_rules(docs: DataFrame, labels: DataFrame, sample: DataFrame | None = None) -> DataFrame:
-    """The rows of ``docs`` that base and rules keep, with all their columns. ``sample`` as in ``ruled``."""
-    return ruled(docs, labels, sample=sample)[0].where("kept").select("doc.*")
+    known = rows if sample is None else statistics(sample, ["doc_id"])
+    known = known.select("doc_id", *FEATURES).join(labels, "doc_id").select(*FEATURES, "y", (fold() != 3).alias("grow"))
+    with scratch(docs.sparkSession):
+        rules = learn(known if sample is None else staged(known, "sample"))
+    kept = F.col("rule") == 0
+    return rows.withColumn("rule", verdict(rules)).withColumn("kept", kept & ~F.col("base_failed") if base else kept), rules
+
+
+def kept_by_rules(docs: DataFrame, labels: DataFrame, sample: DataFrame | None = None, base: bool = True) -> DataFrame:
+    """The rows of ``docs`` that the rules keep (and the base, if ``base``), with all their columns. ``sample`` as in
+    ``ruled``."""
+    return ruled(docs, labels, sample=sample, base=base)[0].where("kept").select("doc.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

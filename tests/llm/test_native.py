@@ -1,13 +1,15 @@
 """Secrets, quality rules and sharding against brute force in Python."""
 
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import xxhash
 from ledgerspark.llm.labels import labelled
-from ledgerspark.llm.quality_rules import kept_by_rules, op3_quality_rules, ruled
+from ledgerspark.llm.quality_rules import CONDITIONS, CUTS, FEATURES, PRECISION, RULES, SUPPORT, kept_by_rules, learn, op3_quality_rules, ruled
 from ledgerspark.llm.secrets import op1_secrets, redacted, secret_spans
 from ledgerspark.llm.sharding import op5_sharding, sharded
 
@@ -32,18 +34,36 @@ def shown(spans):
     return ",".join(f"{s[2]}:{s[0]}:{s[3]}" for s in spans)
 
 
+def luhn(digits):
+    return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def live(value, owners, repos):
+    bits = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
+    near = sum(abs(ord(a) - ord(b)) <= 1 for a, b in zip(value, value[1:]))  # noqa: B905
+    return owners == 1 and repos <= 2 and len(value) >= 13 and bits >= 2.5 and near <= 0.5 * (len(value) - 1)
+
+
 def brute_secrets(docs):
     """All spans of each row, from patterns and ownership counted in dictionaries."""
-    owners, found = defaultdict(set), []
+    owners, repos, named, found = defaultdict(set), defaultdict(set), set(), []
     for d in docs:
         base = base_spans(d.text)
-        more = [(m.start(), 3, "owned", m.end(), m[0]) for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", d.text or "")]
-        more = [s for s in more if re.search("[0-9]", s[4]) and re.search("[A-Za-z]", s[4]) and not any(b[0] < s[3] and s[0] < b[3] for b in base)]
+        more = [(m.start(), 3, "owned", m.end(), m[0]) for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{13,}", d.text or "")]
+        more = [s for s in more if re.fullmatch("[0-9]{13,19}", s[4]) and luhn(s[4]) or len(s[4]) >= 16 and re.search("[0-9]", s[4]) and re.search("[A-Za-z]", s[4])]
+        more += [(m.start(), 3, "owned", m.end(), m[1]) for m in re.finditer(r"(?<=://)[A-Za-z0-9._~%+-]+:([A-Za-z0-9._~%!$&'()*+,;=-]{6,})@", d.text or "")]
+        more = [s for s in more if not any(b[0] < s[3] and s[0] < b[3] for b in base)]
         found.append((d.doc_id, base, more))
+        named |= {s[4] for s in base}
         for s in base + more:
             owners[s[4]].add(d.source)
-    live = lambda v: len(owners[v]) == 1 and len(v) >= 16 and len(set(v)) >= 8 and not re.search("(?i)example|sample|dummy|placeholder|xxxx|0000|1234", v)
-    return [(i, *[sum(s[2] == k for s in b) for k in PATTERNS], hashlib.sha256(shown(b).encode()).hexdigest(), shown(sorted(b + [s for s in m if live(s[4])]))) for i, b, m in found]
+            repos[s[4]].add((d.source, d.lang))
+
+    def kept(value):
+        n, r = len(owners[value]), len(repos[value])
+        return n < 3 and r < 5 and (value in named or live(value, n, r))
+
+    return [(i, *[sum(s[2] == k for s in b) for k in PATTERNS], hashlib.sha256(shown(b).encode()).hexdigest(), shown(sorted(b + [s for s in m if kept(s[4])]))) for i, b, m in found]
 
 
 def ordered(rows):
@@ -56,8 +76,19 @@ SECRETS = [
 ]
 
 
+#: Planted values: of one owner in one repository, copied by many owners, in many repositories of one owner, of two owners,
+#: named as a secret by another document, card numbers with a right and a wrong check digit, one that counts up.
+OWN, COPIED, SPREAD, TWO, NAMED = "Hv5Bn83MzQw70RkTd26J", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "Qm4Tz81VbXc06JhWn35L", "Yb7Rd92HsKq40LpGt18C", "Wc3Fm68TnZk95DxQj27B"
+PLANTED = {
+    10: (f"id {OWN} here", "en", "a"), 11: (f"again {OWN}", "en", "a"), 12: (f"{TWO} or", "en", "a"), 13: (f"{TWO} or", "en", "b"),
+    14: (f"password={NAMED}", "en", "a"), 15: (f"later {NAMED} bare", "en", "b"), 16: ("pay 4539578763621486 now", "en", "a"), 17: ("pay 4539578763621487 now", "en", "a"),
+    18: ("abcdefghijklmnop0123456789", "en", "a"), 19: ("see https://bob:hunter2hunter@host/x", "en", "a"), 20: ("secret=AKIA" + "Q7Z4" * 5, "en", "a"),
+    **{100 + k: (f"key {COPIED} in", "en", f"s{k}") for k in range(4)}, **{200 + k: (f"key {SPREAD} in", f"l{k}", "a") for k in range(6)},
+}
+
+
 def secret_docs(spark):
-    rows = [(k, t, "en", f"s{k % 3}") for k, t in enumerate(SECRETS)] + [(100 + k, "key 9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "en", f"s{k}") for k in range(4)]
+    rows = [(k, t, "en", f"s{k % 3}") for k, t in enumerate(SECRETS)] + [(k, *v) for k, v in PLANTED.items()]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
 
 
@@ -68,8 +99,15 @@ def test_secrets(spark, odd):
         assert ordered(tuple(r) for r in secret_spans(rows).select(*columns).collect()) == ordered(brute_secrets(rows.collect()))
     assert secret_spans(odd.limit(0)).count() == 0
     assert op1_secrets(spark, SF).count() == 200
-    owned = {r.doc_id: r.spans for r in secret_spans(docs).where("spans like '%owned%'").collect()}
-    assert owned == {4: "owned:3:23"}
+
+
+def test_ownership_adds_and_withholds(spark):
+    owned = {r.doc_id for r in secret_spans(secret_docs(spark)).where("spans like '%owned%'").collect()}
+    assert owned & set(PLANTED) == {10, 11, 15, 16, 19}
+    only = secret_docs(spark).where("doc_id >= 10").select("doc_id", "text")
+    # without owners all count as one, in one repository: what was withheld as copied is added
+    owned = {r.doc_id for r in secret_spans(only).where("spans like '%owned%'").collect()}
+    assert owned == {10, 11, 12, 13, 15, 16, 19, *range(100, 104), *range(200, 206)}
 
 
 def test_redaction(spark, odd):
@@ -89,6 +127,8 @@ def test_redaction(spark, odd):
         assert got[d.doc_id] == want + d.text[at:]
     out = redacted(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
+    clash = spark.createDataFrame([(1, "password=hunter2hunter2", 5, 6, 7)], "doc_id long, text string, __row long, found int, `a.b` int")
+    assert [tuple(r) for r in redacted(clash).collect()] == [(1, "[SECRET]", 5, 6, 7)]
 
 
 def brute_statistics(text):
@@ -121,12 +161,73 @@ def test_rules_reject_bad_and_keep_good(spark):
     rows = op3_quality_rules(spark, sf).where("not base_failed").join(labels, "doc_id").collect()
     good, bad = [r.kept for r in rows if r.quality == 1], [not r.kept for r in rows if r.quality == 0]
     assert sum(good) / len(good) > 0.97
-    assert sum(bad) / len(bad) > 0.4
+    assert sum(bad) / len(bad) > 0.9
+
+
+def brute_rules(rows):
+    """The decision list from plain lists: rows are (statistics by name, y, grow)."""
+    cuts = {}
+    for f in FEATURES:
+        values = {0.0} if any(r[0][f] == 0 for r in rows) else set()
+        for y in (0, 1):
+            own = sorted(float(r[0][f]) for r in rows if r[1] == y and r[0][f] != 0)
+            values |= {own[max(0, math.ceil(len(own) * (k / CUTS)) - 1)] for k in range(CUTS + 1)} if own else set()
+        cuts[f] = [(a + b) / 2 for a, b in zip(sorted(values), sorted(values)[1:], strict=False)]
+    hit = lambda rule, s: all((s[f] > c) == above for f, above, c in rule)
+    both = lambda own: (sum(y == 0 for _, y, _ in own), sum(y == 1 for _, y, _ in own))
+    found, failed = [], set()
+    while len(found) < RULES:
+        left = [r for r in rows if not any(hit(rule, r[0]) for rule in found)]
+        rule = []
+        while len(rule) < CONDITIONS:
+            own = [r for r in left if r[2] and hit(rule, r[0])]
+            bad, good = both(own)
+            if bad < SUPPORT or not good:
+                break
+            best = (1.0, None)
+            for f in FEATURES:
+                for c in cuts[f] if rule or f not in failed else ():
+                    for above in (False, True):
+                        b, g = both([r for r in own if hit([(f, above, c)], r[0])])
+                        worth = b * (math.log2(b / (b + g)) - math.log2(bad / (bad + good))) if b else 0.0
+                        if worth > best[0]:
+                            best = (worth, (f, above, c))
+            if best[1] is None:
+                break
+            rule.append(best[1])
+        if not rule:
+            break
+        first, worth = rule[0][0], {}
+        for k in range(1, len(rule) + 1):
+            b, g = both([r for r in left if not r[2] and hit(rule[:k], r[0])])
+            if b >= SUPPORT:
+                worth[k] = b / (b + g)
+        k = max(worth, key=lambda k: (worth[k], -k), default=None)
+        if k and worth[k] >= PRECISION:
+            found.append(rule[:k])
+            failed = set()
+        else:
+            failed.add(first)
+    return found
+
+
+def test_learner_against_brute_force(spark):
+    """Four kinds of bad rows, each told by a conjunction, among good rows that meet half of it."""
+    rng = random.Random(2)
+    rows = []
+    for k in range(900):
+        s = {f: round(rng.random(), 3) for f in FEATURES} | {"n_words": rng.randrange(1, 400), "symbol_share": 0.0, "exclaim_share": round(max(0.0, rng.random() - 0.7), 3)}
+        bad = (s["repeat_share"] > 0.7 and s["n_words"] > 200) or (s["variety"] < 0.3 and s["upper_share"] > 0.6) or (s["exclaim_share"] > 0.25)
+        if rng.random() < 0.05:
+            s["symbol_share"], bad = round(0.1 + rng.random() / 2, 3), True
+        rows.append((s, int(not bad), k % 3 != 0))
+    frame = spark.createDataFrame([(*(float(s[f]) for f in FEATURES), y, g) for s, y, g in rows], ", ".join(f"{f} double" for f in FEATURES) + ", y int, grow boolean")
+    got = [[tuple(c) for c in rule] for rule in learn(frame)]
+    assert got == brute_rules(rows)
+    assert len(got) >= 3 and max(map(len, got)) >= 2
 
 
 def shard_of(key, weights):
-    import math
-
     out = []
     for s, w in enumerate(weights):
         seed = 42 if key is None else xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)

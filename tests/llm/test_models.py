@@ -46,12 +46,23 @@ def test_top_k(spark):
 def test_top_k_over_many_blocks(spark, monkeypatch):
     from ledgerspark.llm import topk
 
-    monkeypatch.setattr(topk, "QUERIES", 7)
-    monkeypatch.setattr(topk, "CANDIDATES", 30)
+    for name, value in {"QUERIES": 7, "CANDIDATES": 30, "FEWEST": 10, "RUNS": (3, 5, 8), "SEEDS": 40, "DIMENSIONS": 8}.items():
+        monkeypatch.setattr(topk, name, value)
     table = spark.read.parquet(f"{SF}/embeddings.parquet").withColumn("embedding", F.when(F.col("vec_id") % 3 == 0, F.col("embedding")).otherwise(F.transform("embedding", lambda x: F.round(x, 1))))
     assert sorted(map(tuple, topk.top_k(table, F.col("vec_id") % 20 == 0, k=5).collect())) == brute_top(table.collect(), 5)
 
 
+def test_large_components_are_exact(spark):
+    rng = random.Random(4)
+    rows = [(0, [1.0]), (1, [4.0e6]), (2, [3.0e6]), (20, [4.0e6]), (3, [-4.0e6])]
+    rows += [(100 + k, [rng.uniform(-1, 1) * 10 ** rng.choice([0, 3, 7, 7, 15]) * (1 if rng.random() < 0.5 else 1e-9) for _ in range(3)]) for k in range(60)]
+    frame = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in rows if max(map(abs, v)) < 1e8], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k(frame, F.col("vec_id") % 20 == 0, k=4).collect())) == brute_top(frame.collect(), 4)
+    # a query and a candidate too large for 64-bit scores, whose best still fit
+    wide = spark.createDataFrame([(0, [2.0**55, 1.0]), (1, [1.0, 0.0]), (2, [0.5, 2.0]), (3, [-(2.0**50), 0.0]), (20, [1 / 64, 1 / 64])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, top_k(wide, F.col("vec_id") == 20, k=3).collect())) == [r for r in brute_top(wide.collect(), 3) if r[0] == 20]
+
+
 def check_packing(docs, got):
     library = Tokenizer.from_file(WORD)
     want = sorted(((d.doc_id is not None, d.doc_id or 0), b"".join(i.to_bytes(4, "little") for i in [*library.encode(d.text or "", add_special_tokens=False).ids, 1])) for d in docs)

@@ -15,7 +15,9 @@ from .common import staged
 #: Vectors in a block of queries and in a block of candidates at most; candidates in a block at least, if there are so many.
 QUERIES, CANDIDATES, FEWEST = 8192, 16384, 2048
 #: Dimensions accumulated between two prunings; candidates in the first runs of a block, the longest ones, and in later ones.
-DIMENSIONS, RUNS = 16, (256, 1024, 4096)
+DIMENSIONS, RUNS = 16, (1024, 4096)
+#: Queries whose scores grow together; share of survivors below which they are moved together.
+TOGETHER, COMPACTED = 64, 0.8
 #: Longest vectors that are broadcast to give each query a first bound.
 SEEDS = 1024
 
@@ -35,41 +37,43 @@ def best(queries: np.ndarray, candidates: np.ndarray, ids: np.ndarray, skip: np.
 
     ``candidates`` lie vertically, a row for each dimension, the longest vectors first. ``skip`` is the position of a
     query's own row, or -1. A run of candidates of which even the longest can't reach the k-th score so far is left out.
-    In the others, scores grow block by block of dimensions. What the rest can still add or take is at most the product
-    of the two rests' lengths (Cauchy and Schwarz); a candidate whose upper bound is below the k-th score, or below the
-    k-th largest lower bound of the run, leaves, and the survivors are moved together.
+    In the others, the scores of some queries grow together, block by block of dimensions. What the rest can still add or
+    take is at most the product of the two rests' lengths (Cauchy and Schwarz). A candidate whose upper bound is below a
+    query's k-th score, or below its k-th largest lower bound in the run, is out for that query; those that are out for
+    all of these queries leave, and the survivors are moved together.
     """
     width, count = candidates.shape
     cuts = [*range(0, width, DIMENSIONS), width] if width else [0, 0]
     c_rest = [np.sqrt((candidates[at:].astype(float) ** 2).sum(axis=0)) for at in cuts]
-    for first_query in range(0, len(queries), 512):
-        part = queries[first_query : first_query + 512]
+    margin = 1 if queries.dtype == np.float64 else 4096
+    for first_query in range(0, len(queries), TOGETHER):
+        some = slice(first_query, first_query + TOGETHER)
+        part, floor = queries[some], least[some].copy()
         kept = [(np.empty(0, np.int64), np.empty(0, queries.dtype))] * len(part)
-        floor = least[first_query : first_query + 512].copy()
+        # rounding is covered by this factor and the margin; integers beyond 2^53 are compared as doubles
         q_rest = [np.sqrt((part[:, at:].astype(float) ** 2).sum(axis=1)) * (1 + 1e-9) for at in cuts]
         for run in runs(count):
-            reached = q_rest[0] * c_rest[0][run.start] + 1 >= floor
-            if not reached.any():
+            reached = np.flatnonzero(q_rest[0] * c_rest[0][run.start] + margin >= floor)
+            if not len(reached):
                 break
-            first = part[:, : cuts[1]] @ candidates[: cuts[1], run]
-            for q in np.flatnonzero(reached):
-                query, scores, live = part[q], first[q], np.arange(run.start, run.stop)
-                own = skip[first_query + q]
-                if run.start <= own < run.stop:
-                    live = np.delete(live, own - run.start)
-                    scores = np.delete(scores, own - run.start)
-                for low, high, at in zip(cuts[1:], cuts[2:], range(1, len(cuts)), strict=False):
-                    # rounding of the bound is covered by a factor in q_rest and the added one
-                    slack = c_rest[at][live] * q_rest[at][q] + 1
-                    lower = floor[q]
-                    if len(live) > k:
-                        lower = max(lower, np.partition(scores - slack, len(live) - k)[len(live) - k])
-                    keep = scores + slack >= lower
-                    live, scores = live[keep], scores[keep]
-                    scores = scores + query[low:high] @ candidates[low:high, live]
-                live, scores = np.r_[kept[q][0], live], np.r_[kept[q][1], scores]
-                order = np.lexsort((ids[live], -scores))[:k]
-                kept[q] = live[order], scores[order]
+            live, scores = np.arange(run.start, run.stop), np.zeros((len(reached), run.stop - run.start), queries.dtype)
+            there = live[None, :] != skip[some][reached][:, None]
+            for low, high, at in zip(cuts, cuts[1:], range(1, len(cuts)), strict=False):
+                scores += part[reached, low:high] @ candidates[low:high, live]
+                slack = q_rest[at][reached][:, None] * c_rest[at][live][None, :] + margin
+                lower = floor[reached]
+                if len(live) > k and (open_ := np.flatnonzero(lower == -np.inf)).size:
+                    sure = np.where(there[open_], scores[open_] - slack[open_], -np.inf)
+                    lower[open_] = np.partition(sure, len(live) - k, axis=1)[:, len(live) - k]
+                there &= scores + slack >= lower[:, None]
+                wanted = there.any(axis=0)
+                if wanted.mean() < COMPACTED:
+                    live, scores, there = live[wanted], scores[:, wanted], there[:, wanted]
+            for n, q in enumerate(reached):
+                own = np.flatnonzero(there[n])
+                at, found = np.r_[kept[q][0], live[own]], np.r_[kept[q][1], scores[n, own]]
+                order = np.lexsort((ids[at], -found))[:k]
+                kept[q] = at[order], found[order]
                 if len(order) == k:
                     floor[q] = max(floor[q], kept[q][1][-1])
         for q, (live, scores) in enumerate(kept):

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents
-from .encoding import WordEncoder, in_slices
+from .encoding import ENTRY, WordEncoder, in_slices
 
 WORD_BPE = "word_bpe_49k.json"
 NEVER = np.iinfo(np.int64).max
@@ -109,6 +109,7 @@ class BatchEncoder(WordEncoder):
             symbols.append([*map(self.inner.__getitem__, raw[:-1]), self.last[raw[-1]]])
         for piece, ids in zip(fresh, self.merger.merge(symbols), strict=True):
             self.parts[piece] = ids.astype("<u4").tobytes()
+        self.held += sum([ENTRY + 2 * len(w) for w in (*new, *fresh)])
         for word, pieces in zip(new, cut, strict=True):
             known[word] = b"".join([self.added[q].to_bytes(4, "little") if added else self.parts[q] for q, added in pieces])
         return known

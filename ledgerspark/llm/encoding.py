@@ -9,8 +9,9 @@ from functools import lru_cache
 from pathlib import Path
 from struct import pack
 
-#: Words that a worker remembers at most; then it starts over.
-REMEMBERED = 600_000
+#: Bytes of words and ids, with what a dictionary takes for them, that a worker remembers, about; then it starts over. What
+#: one slice of texts adds comes on top.
+REMEMBERED, ENTRY = 160_000_000, 200
 #: Letters below this one have the same class and case in every Unicode version in use, and don't combine.
 PLAIN = "ɐ"
 
@@ -54,6 +55,7 @@ class WordEncoder:
         self.heads: dict[str, bytes] = {}
         #: Words that end in white space, and the empty one.
         self.ends = {""}
+        self.held = 0
 
     def part(self, piece: str) -> bytes:
         """Ids of what the pattern yields as one."""
@@ -75,23 +77,25 @@ class WordEncoder:
             ids = known.get(piece)
             if ids is None:
                 ids = known[piece] = self.part(piece)
+                self.held += ENTRY + 2 * len(piece)
             out += ids
         return out
 
     def remember(self, known: dict[str, bytes], words: Iterable[list[str]], before: str = "") -> dict[str, bytes]:
         new = set().union(*words).difference(known)
         known.update({w: self.new_word(before + w) for w in new})
+        self.held += sum([ENTRY + 2 * len(w) for w in new])
         self.ends.update([w for w in new if w[-1:].isspace()])
         return known
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.words) + len(self.heads) > self.limit:
+        if self.held > self.limit:
             self.words.clear()
             self.heads.clear()
-            self.ends = {""}
-        if len(self.parts) > self.limit:
             self.parts.clear()
+            self.ends = {""}
+            self.held = 0
         if not self.spaced:
             cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
             get = self.remember(self.words, cut).__getitem__

@@ -10,15 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from .common import documents, staged, text_or_empty
+from .common import bind, documents, staged, text_or_empty
 from .encoding import encoded
 
 WORD_BPE = "word_bpe_49k.json"
 WINDOW, END = 2048, 1
 #: What is known of a piece.
 PIECE = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens"]
-#: Lengths from which triples are formed, the most frequent ones; sweeps of the solver.
-TRIPLE_LENGTHS, SWEEPS = 96, 12
+#: Lengths from which triples are formed, the most frequent ones; sweeps of the solver at most, and the largest change of
+#: a repeat count in a sweep after which it has converged.
+TRIPLE_LENGTHS, SWEEPS, SETTLED = 96, 500, 0.01
+#: Bytes of the parts' bases (a long for each length) up to which they are broadcast; beyond, parts are joined by a shuffle.
+BROADCAST = 64 << 20
 
 
 def combinations(counts: np.ndarray, window: int = WINDOW) -> list[tuple[int, ...]]:
@@ -33,7 +36,8 @@ def combinations(counts: np.ndarray, window: int = WINDOW) -> list[tuple[int, ..
 
 def repeats(combos: list[tuple[int, ...]], counts: np.ndarray) -> list[float]:
     """How often to use each combination: x >= 0 that minimises |A x - counts|^2, column k of A holding how often
-    combination k uses each length. Coordinate descent: each step solves one x exactly."""
+    combination k uses each length. Coordinate descent, each step solving one x exactly, until no x moves by more than
+    ``SETTLED``: repeat counts are rounded, so nearer is of no use."""
     rest, x = counts.astype(float).tolist(), [0.0] * len(combos)
     norms = [sum(c.count(n) ** 2 for n in set(c)) for c in combos]
     for _ in range(SWEEPS):
@@ -47,7 +51,7 @@ def repeats(combos: list[tuple[int, ...]], counts: np.ndarray) -> list[float]:
                 moved = max(moved, abs(step))
                 for n in combo:
                     rest[n] -= step
-        if moved < 0.25:
+        if moved <= SETTLED:
             break
     return x
 
@@ -154,7 +158,8 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END,
     A null text counts as empty: it has ``end`` alone. Repeated rows are packed as often as they occur. No rows give no
     rows. Other columns are ignored. The driver sees the histogram of lengths (``window`` rows at most) and the plan that
     follows from it, whose size depends on the window alone. Pieces are numbered within their part and length; what
-    comes before that is summed up over parts, so no task holds a length.
+    comes before that is summed up over parts, so no task holds a length. Each part has one row of such sums, as many as
+    the window is long; these are broadcast up to ``BROADCAST`` bytes.
     """
     cut = staged(pieces(docs, vocabulary, window, end), "pieces")
     sizes = staged(cut.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "sizes")
@@ -164,7 +169,11 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END,
     full, counts[window] = int(counts[window]), 0
     places = Places([(full, [(window, 1)])] * bool(full) + plan(counts, window), 0)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = staged(sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "bases")
+    bases = sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    by_length = F.map_from_entries(F.collect_list(F.struct("length", "base")))
+    bases = bases.groupBy("part").agg(bind(by_length, lambda m: F.transform(F.sequence(F.lit(1), F.lit(window)), lambda n: F.coalesce(F.try_element_at(m, n.cast("long")), F.lit(0)))).alias("bases"))
+    bases = staged(bases, "bases")
+    bases = F.broadcast(bases) if bases.count() * window * 8 <= BROADCAST else bases
     known = cut.sparkSession.sparkContext.broadcast((places.keys, places.rows))
 
     def place(batches: Iterator) -> Iterator:
@@ -178,7 +187,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END,
                 sequence, offset = own(length, rank)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sequence), pa.array(offset)], [*batch.schema.names, "sequence_id", "offset"])
 
-    ranked = cut.join(bases, ["length", "part"]).withColumn("rank", F.col("base") + F.col("number"))
+    ranked = cut.join(bases, "part").withColumn("rank", F.get("bases", F.col("length").cast("int") - 1) + F.col("number"))
     rows = ranked.select(*(PIECE if columns is None else columns), "rank")
     return rows.mapInArrow(place, StructType([*rows.schema.fields]).add("sequence_id", LongType()).add("offset", LongType())).drop("rank")
 

@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
-from .common import documents, staged
+from .common import documents, scratch, staged, whole_row
 from .labels import HELD_OUT, fold, labelled
 
 #: Random features, ridge penalty for each labelled row, seed, fold for calibration, bins of a raw score's unit.
 FEATURES, PENALTY, SEED, CALIBRATION, BINS = 256, 1e-4, 20, 3, 200
 THRESHOLD = 0.7
-#: Partial sums go to so many groups before they are added up on the driver.
-GROUPS = 8
+#: Partial sums that one task, or the driver, adds up at most.
+FAN_IN = 32
 KINDS = [b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b"#*$%&<>", b"|", b"!", b".,;:?", b"()[]{}\"'`/\\=+_~^@-", bytes(range(128, 192)), b"\n"]
 
 
@@ -52,7 +52,7 @@ def with_statistics(docs: DataFrame, carry: list[str]) -> DataFrame:
             stats = pa.array([text_statistics(t.as_py() or "") for t in batch.column(2)], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), stats], ["doc", "doc_id", "stats"])
 
-    rows = docs.select(F.struct(*carry).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(whole_row(carry).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = StructType([*rows.schema.fields[:2]]).add("stats", ArrayType(DoubleType()))
     return rows.mapInArrow(add, schema)
 
@@ -76,9 +76,9 @@ class Kernel:
         return np.hstack([waves, scaled, np.ones((len(stats), 1))])
 
 
-def summed(rows: DataFrame, part) -> np.ndarray | None:
+def summed(rows: DataFrame, part, fan_in: int = FAN_IN) -> np.ndarray | None:
     """The sum of ``part(stats, y)`` (a flat array) over all batches of ``rows`` (stats, y): first within a partition,
-    then within ``GROUPS`` groups, then on the driver. None if there are no rows."""
+    then level by level over ``fan_in`` sums, the last of them on the driver. None if there are no rows."""
 
     def partial(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -90,15 +90,23 @@ def summed(rows: DataFrame, part) -> np.ndarray | None:
                 own = part(matrix(batch.column(0)), np.asarray(batch.column(1).to_numpy(zero_copy_only=False), float))
                 total = own if total is None else total + own
         if total is not None:
-            yield pa.RecordBatch.from_pydict({"k": pa.array([TaskContext.get().partitionId() % GROUPS], pa.int32()), "sums": [total.tobytes()]})
+            yield pa.RecordBatch.from_pydict({"k": pa.array([TaskContext.get().partitionId()], pa.int32()), "sums": [total.tobytes()]})
 
     def add(table):
         import pyarrow as pa
 
-        total = sum(np.frombuffer(x.as_py()) for x in table.column("sums"))
-        return pa.table({"sums": pa.array([total.tobytes()], pa.binary())})
-
-    got = rows.select("stats", "y").mapInArrow(partial, "k int, sums binary").groupBy("k").applyInArrow(add, "sums binary").collect()
+        total = np.zeros(0)
+        for raw in table.column("sums"):
+            own = np.frombuffer(raw.as_py())
+            total = own + total if len(total) else own
+        return pa.table({"k": table.column("k").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    left = rows.rdd.getNumPartitions()
+    sums = rows.select("stats", "y").mapInArrow(partial, "k int, sums binary")
+    while left > fan_in:
+        sums = sums.select(F.expr(f"k div {fan_in}").cast("int").alias("k"), "sums").groupBy("k").applyInArrow(add, "k int, sums binary")
+        left = -(-left // fan_in)
+    got = sums.collect()
     return sum(np.frombuffer(r["sums"]) for r in got) if got else None
 
 
@@ -111,6 +119,8 @@ class Model:
 
     def score(self, stats: np.ndarray) -> np.ndarray:
         """Calibrated, with a thousandth of the raw score's own order within a level of the calibration."""
+        if self.kernel is None:
+            return np.ones(len(stats))
         raw = self.raw(stats)
         return 0.999 * np.interp(raw, *self.steps) + 0.001 / (1 + np.exp(-raw))
 
@@ -126,8 +136,13 @@ def isotonic(at: np.ndarray, weight: np.ndarray, share: np.ndarray) -> tuple[np.
     return np.array([p[0] / p[1] for p in pools]), np.array([p[2] / p[1] for p in pools])
 
 
+def ridge(gram: np.ndarray, moment: np.ndarray, n: float) -> np.ndarray:
+    """Weights that minimise the squared error of ``n`` rows plus ``PENALTY`` (n + 100) times the weights' square."""
+    return np.linalg.solve(gram + PENALTY * (n + 100) * np.eye(len(gram)), moment)
+
+
 def fitted(rows: DataFrame) -> Model:
-    """A model from every row of ``rows`` (stats, y, calibrates). Without rows nothing is doubted: the score is 1."""
+    """A model from every row of ``rows`` (stats, y, calibrates), a staged table. Without rows the score is 1."""
     fit, calibrate = rows.where("not calibrates"), rows.where("calibrates")
     sums = summed(rows, lambda x, y: np.r_[len(y), x.sum(axis=0), (x**2).sum(axis=0)])
     if sums is None:
@@ -142,8 +157,7 @@ def fitted(rows: DataFrame) -> Model:
     wide = FEATURES + WIDTH + 1
     sums = summed(fit, normal)
     sums = summed(rows, normal) if sums is None else sums
-    gram, moment, n = sums[: wide**2].reshape(wide, wide), sums[wide**2 : -1], sums[-1]
-    weights = np.linalg.solve(gram + PENALTY * (n + 100) * np.eye(wide), moment)
+    weights = ridge(sums[: wide**2].reshape(wide, wide), sums[wide**2 : -1], sums[-1])
     model = Model(kernel, weights, (np.array([0.0]), np.array([1.0])))
 
     def binned(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -167,8 +181,9 @@ def scored(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -
     labels of one kind only give that kind.
     """
     rows = staged(with_statistics(docs, docs.columns if carry is None else carry), "statistics")
-    known = staged(rows.select("doc_id", "stats").join(labels, "doc_id").select("stats", "y", (fold() == CALIBRATION).alias("calibrates")), "labelled")
-    model = fitted(known)
+    with scratch(docs.sparkSession):
+        known = rows.select("doc_id", "stats").join(labels, "doc_id").select("stats", "y", (fold() == CALIBRATION).alias("calibrates"))
+        model = fitted(staged(known, "labelled"))
 
     def add(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, staged, text_or_empty
+from .common import column, documents, staged, text_or_empty
 
 #: Rows that one task numbers, about.
 SLOT_ROWS = 200_000
@@ -30,20 +30,21 @@ def sharded(docs: DataFrame, weights: Sequence[float], grown: Sequence[float], k
     """One row per row of ``docs`` (``key``, text): key, size, text_crc32, shard, slot, grown_shard.
 
     ``weights`` are the shards'; ``grown`` those with further shards. size is the text's UTF-8 bytes plus 1; a null
-    text counts as empty. A null key is a key like any other. Slots count from 0 in each shard without a gap, by
+    text counts as empty. Keys are hashed as longs, so a key has one shard whatever integer type its column has; a null key
+    is a key like any other. Slots count from 0 in each shard without a gap, by
     bucket, key and row; rows of one key, however many, are dealt over many buckets by their row number. No rows give no
     rows. Other columns are ignored.
 
     Slots take two steps, so that no task holds a shard: rows are numbered in buckets of about ``SLOT_ROWS``, and a
     bucket starts where the sizes of those before it in its shard add up to.
     """
-    text = text_or_empty()
+    text, own = text_or_empty(), column(key).cast("long")
     rows = docs.select(
-        F.col(key).cast("long").alias(key),
+        own.alias(key),
         (F.octet_length(text).cast("long") + 1).alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        rendezvous(F.col(key), weights).cast("int").alias("shard"),
-        rendezvous(F.col(key), grown).cast("int").alias("grown_shard"),
+        rendezvous(own, weights).cast("int").alias("shard"),
+        rendezvous(own, grown).cast("int").alias("grown_shard"),
         F.monotonically_increasing_id().alias("row_id"),
     )
     rows = staged(rows, "shards")

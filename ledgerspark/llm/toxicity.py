@@ -10,11 +10,13 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
-from .common import documents, staged
+from .common import documents, scratch, staged
 from .labels import labelled
 
-#: Buckets that terms are counted in; terms of the lexicon; labelled rows that the linear models are fitted on at most.
+#: Buckets that terms are counted in (a bound: terms that fall together count as one); terms of a lexicon at most, the
+#: most telling ones; labelled rows that the linear models are fitted on at most.
 BUCKETS, TERMS, SAMPLE = 1 << 20, 128, 12_000
 #: Toxic rows that a term needs, how much more often it must occur in them, and letters of the word beginnings that
 #: count as terms beside whole words.
@@ -37,36 +39,69 @@ def buckets_of(text: str) -> set[int]:
     return {b for w in set(WORDS(text.lower())) for b in terms(w)}
 
 
-def bucket_counts(rows: DataFrame, only: np.ndarray | None = None) -> DataFrame:
-    """bucket, n: in how many rows of ``rows`` (text) a bucket's terms occur, all rows counted; of ``only`` those buckets.
-    A task sums up in an array of fixed size before anything is shuffled."""
+def part_of(doc_id: int | None) -> int:
+    """The part of the labelled rows, for out-of-fold predictions, that an id is in."""
+    return zlib.crc32(str(doc_id).encode()) // 4 % FOLDS
 
-    def count(batches: Iterator) -> Iterator:
+
+def hashed(rows: DataFrame) -> DataFrame:
+    """doc_id and terms (different buckets) of ``rows`` (doc_id, text), with the columns after these."""
+    kept = rows.columns[2:]
+
+    def find(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        sums = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                sums[list(buckets_of(text.as_py() or ""))] += 1
-        there = np.flatnonzero(sums if only is None else sums * only)
-        yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(sums[there])], ["bucket", "n"])
+            found = pa.array([sorted(buckets_of(t.as_py() or "")) for t in batch.column(1)], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), found, *batch.columns[2:]], ["doc_id", "terms", *kept])
 
-    return rows.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    schema = StructType([rows.schema[0]]).add("terms", ArrayType(IntegerType()))
+    return rows.mapInArrow(find, StructType([*schema.fields, *rows.schema.fields[2:]]))
 
 
-def lexicon(rows: DataFrame) -> list[int]:
-    """Buckets of the terms that are far more common in toxic rows of ``rows`` (text, y), at most ``TERMS``. Toxic rows
-    give the candidates, other rows are counted for these only."""
-    sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(sizes) < 2:
+def term_counts(rows: DataFrame) -> DataFrame:
+    """y, part, bucket, n: in how many rows of ``rows`` (terms, y, part) a bucket's terms occur. A task sums up in arrays
+    of fixed size before anything is shuffled."""
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        sums = np.zeros((2 * FOLDS, BUCKETS), np.int32)
+        for batch in batches:
+            terms_, y, part = batch.columns
+            group = np.repeat(np.asarray(y) * FOLDS + np.asarray(part), np.diff(np.asarray(terms_.offsets)))
+            np.add.at(sums, (group, np.asarray(terms_.flatten())), 1)
+        for group in range(2 * FOLDS):
+            there = np.flatnonzero(sums[group])
+            if len(there):
+                same = lambda x: np.full(len(there), x, np.int32)  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pa.array(same(group // FOLDS)), pa.array(same(group % FOLDS)), pa.array(there.astype(np.int32)), pa.array(sums[group][there].astype(np.int64))], ["y", "part", "bucket", "n"])
+
+    return rows.select("terms", "y", "part").mapInArrow(count, "y int, part int, bucket int, n long").groupBy("y", "part", "bucket").agg(F.sum("n").alias("n"))
+
+
+def lexicons(rows: DataFrame) -> list[list[int]]:
+    """The lexicon of all of ``rows`` (terms, y, part), then for each part that of the rows of other parts: buckets of
+    terms that ``SUPPORT`` toxic rows hold, ``LIFT`` times as often as other rows do, the ``TERMS`` most telling ones.
+    No more than these come to the driver. Nothing without rows of both kinds."""
+    sizes = {(r["y"], r["part"]): r["n"] for r in rows.groupBy("y", "part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len({y for y, _ in sizes}) < 2:
         return []
-    toxic = {r["bucket"]: r["n"] for r in bucket_counts(rows.where("y = 1")).where(F.col("n") >= SUPPORT).collect()}
-    only = np.zeros(BUCKETS, bool)
-    only[list(toxic)] = True
-    clean = {r["bucket"]: r["n"] for r in bucket_counts(rows.where("y = 0"), only).collect()}
-    lift = {b: (n + 0.5) / (clean.get(b, 0) + 0.5) * sizes[0] / sizes[1] for b, n in toxic.items()}
-    worth = sorted((b for b in toxic if lift[b] >= LIFT), key=lambda b: (-toxic[b] * np.log(lift[b]), b))
-    return worth[:TERMS]
+    cells = [(y, k) for y in (0, 1) for k in range(FOLDS)]
+    of = lambda y, k: F.sum(F.when((F.col("y") == y) & (F.col("part") == k), F.col("n")).otherwise(0)).alias(f"n{y}_{k}")
+    counts = staged(term_counts(rows).groupBy("bucket").agg(*[of(y, k) for y, k in cells]), "terms")
+
+    def without(left_out: int | None) -> list[int]:
+        parts = [k for k in range(FOLDS) if k != left_out]
+        sums = [sum((F.col(f"n{y}_{k}") for k in parts), F.lit(0)) for y in (0, 1)]
+        n_clean, n_toxic = (sum(sizes.get((y, k), 0) for k in parts) for y in (0, 1))
+        if not n_toxic or not n_clean:
+            return []
+        lift = (sums[1] + 0.5) / (sums[0] + 0.5) * (n_clean / n_toxic)
+        telling = counts.where((sums[1] >= SUPPORT) & (lift >= LIFT)).orderBy(F.desc(sums[1] * F.log(lift)), "bucket").limit(TERMS)
+        return [r["bucket"] for r in telling.select("bucket").collect()]
+
+    return [without(k) for k in (None, *range(FOLDS))]
 
 
 def hits(docs: DataFrame, chosen: list[int]) -> DataFrame:
@@ -96,16 +131,26 @@ def hits(docs: DataFrame, chosen: list[int]) -> DataFrame:
     return rows.mapInArrow(find, "row_id long, doc_id long, hits array<int>, n_words long")
 
 
-def inputs(found: list, n_words: list) -> np.ndarray:
-    """A column for each term, then the number of terms (logarithm) and their share of the words, and a constant."""
-    out = np.zeros((len(found), TERMS + 3))
+def inputs(found: list, n_words: list, lexicon: np.ndarray) -> np.ndarray:
+    """A column for each term of ``lexicon``, then the number of terms (logarithm) and their share of the words, and a
+    constant. ``lexicon`` gives the column of each term number in ``found``, or -1."""
+    width = int(lexicon.max(initial=-1)) + 1
+    out = np.zeros((len(found), width + 3))
     for k, (own, n) in enumerate(zip(found, n_words, strict=True)):
-        out[k, own] = 1
-        out[k, TERMS : TERMS + 2] = np.log1p(len(own)), len(own) / max(1, n)
+        at = lexicon[own] if len(own) else lexicon[:0]
+        at = at[at >= 0]
+        out[k, at] = 1
+        out[k, width : width + 2] = np.log1p(len(at)), len(at) / max(1, n)
     out[:, -1] = 1
     return out
 
 
+def targets(found: list, y: np.ndarray, lexicon: np.ndarray) -> list[np.ndarray]:
+    """The chain's categories of labelled rows, by one lexicon."""
+    n = np.array([(lexicon[own] >= 0).sum() if len(own) else 0 for own in found])
+    return [y * (n >= 1), y * (n >= SEVERE), y]
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -125,23 +170,28 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 class Chain:
-    """A linear model for each category; later ones read the probabilities of earlier ones too."""
+    """A linear model for each category; later ones read the probabilities of earlier ones too.
+
+    What later models are trained with, and the threshold comes from, is said of each row by models that have seen
+    neither the row's label nor a lexicon or weak label that it took part in: those of a part's complement, with its own
+    lexicon. ``lexicons``: that of all rows, then that of each part's complement. ``depth``: categories, from the last.
+    """
 
-    def __init__(self, x: np.ndarray, targets: list[np.ndarray], w: np.ndarray, folds: np.ndarray):
-        self.models, seen = [], x
-        for y in targets:
-            self.models.append(logistic(seen, y, w))
-            out_of_fold = np.zeros(len(x))
+    def __init__(self, found: list, n_words: list, y: np.ndarray, w: np.ndarray, parts: np.ndarray, lexicons: list[np.ndarray], depth: int = len(CATEGORIES)):
+        self.models, self.lexicon = [], lexicons[0]
+        xs, ts = [inputs(found, n_words, own) for own in lexicons], [targets(found, y, own)[-depth:] for own in lexicons]
+        for c in range(depth):
+            self.models.append(logistic(xs[0], ts[0][c], w))
+            unseen = np.zeros(len(y))
             for k in range(FOLDS):
-                rest = folds != k
-                own = logistic(seen[rest], y[rest], w[rest]) if rest.any() else self.models[-1]
-                out_of_fold[~rest] = sigmoid(seen[~rest] @ own)
-            # later models are trained with what a model says of rows that it has not seen
-            seen = np.column_stack([out_of_fold, seen])
-        self.threshold = best_threshold(seen[:, 0], targets[-1], w)
-
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        out = []
+                rest = parts != k
+                if rest.any() and not rest.all():
+                    unseen[~rest] = sigmoid(xs[k + 1][~rest] @ logistic(xs[k + 1][rest], ts[k + 1][c][rest], w[rest]))
+            xs = [np.column_stack([unseen, x]) for x in xs]
+        self.threshold = best_threshold(unseen, y, w)
+
+    def __call__(self, found: list, n_words: list) -> np.ndarray:
+        x, out = inputs(found, n_words, self.lexicon), []
         for weights in self.models:
             out.append(sigmoid(x @ weights))
             x = np.column_stack([out[-1], x])
@@ -157,37 +207,44 @@ def best_threshold(p: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
     return float(p[order][np.argmax(f1)]) if len(p) and y.any() else 2.0
 
 
-def fitted(known: DataFrame) -> Chain | None:
+def fitted(known: DataFrame, lexicons: list[np.ndarray], depth: int = len(CATEGORIES)) -> Chain | None:
     """A chain from at most ``SAMPLE`` rows of ``known`` (row_id, doc_id, hits, n_words, y), those of smallest hash; equal
     inputs are put together."""
     rows = known.orderBy(F.xxhash64("doc_id"), "row_id").limit(SAMPLE).collect()
     if not rows:
         return None
-    groups: dict[tuple, list[int]] = {}
+    groups: dict[tuple, int] = {}
     for r in rows:
-        key = (tuple(r["hits"]), r["n_words"] if r["hits"] else 0, r["y"], zlib.crc32(str(r["doc_id"]).encode()) // 4 % FOLDS)
+        key = (tuple(r["hits"]), r["n_words"] if r["hits"] else 0, r["y"], part_of(r["doc_id"]))
         groups[key] = groups.get(key, 0) + 1
     keys = sorted(groups)
-    x, y = inputs([k[0] for k in keys], [k[1] for k in keys]), np.array([k[2] for k in keys], float)
-    n = np.array([len(k[0]) for k in keys])
-    return Chain(x, [y * (n >= 1), y * (n >= SEVERE), y], np.array([groups[k] for k in keys], float), np.array([k[3] for k in keys]))
+    found = [np.array(k[0], np.int64) for k in keys]
+    return Chain(found, [k[1] for k in keys], np.array([k[2] for k in keys], float), np.array([groups[k] for k in keys], float), np.array([k[3] for k in keys]), lexicons, depth)
 
 
-def toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, p_insult, p_severe, p_toxic, toxic (0 or 1) of every row of ``docs`` (doc_id, text), from ``labels``
-    (doc_id, y).
+def toxic(docs: DataFrame, labels: DataFrame, depth: int = len(CATEGORIES)) -> DataFrame:
+    """doc_id, p_insult, p_severe, p_toxic (the last ``depth`` of them), toxic (0 or 1) of every row of ``docs`` (doc_id,
+    text), from ``labels`` (doc_id, y).
 
     The chain's categories come from the label and the lexicon that the labelled rows give: insult (a toxic row with a
     term of it), severe (with ``SEVERE`` or more), toxic (the label). Terms are counted over all labelled rows; the linear
     models are fitted on ``SAMPLE`` of them at most. Scores depend on texts alone. A null text counts as empty. Repeated
     rows get equal scores. No rows give no rows; without labels of both kinds all probabilities are 0 and nothing is
-    toxic. Labels are broadcast up to ``BROADCAST`` rows, and else joined by a shuffle.
+    toxic. Labels are joined to texts by a broadcast up to ``BROADCAST`` rows, and else by a shuffle of the texts' terms.
     """
-    rows = docs.select("doc_id", "text")
-    known = bounded(labels.withColumnRenamed("doc_id", "labelled_id"))
-    chosen = lexicon(rows.join(known, F.col("doc_id").cast("long") == F.col("labelled_id")).select("text", "y"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    names = CATEGORIES[-depth:]
+    with scratch(docs.sparkSession):
+        few = staged(labels.select("doc_id", "y", part_column().alias("part")), "labels")
+        known = hashed(rows.join(F.broadcast(few), "doc_id")) if few.count() <= BROADCAST else hashed(rows).join(few, "doc_id")
+        own = lexicons(staged(known, "known"))
+    chosen = sorted(set().union(*own))
     found = staged(hits(docs, chosen), "hits")
-    chain = fitted(found.join(labels, "doc_id")) if chosen else None
+    columns = []
+    for lexicon in own:
+        columns.append(np.full(len(chosen), -1, np.int64))
+        columns[-1][np.searchsorted(chosen, lexicon)] = np.arange(len(lexicon))
+    chain = fitted(found.join(labels, "doc_id"), columns, depth) if own and own[0] else None
 
     def score(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -195,18 +252,16 @@ def toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 4096):
                 part = batch.slice(first, 4096)
-                x = inputs(part.column(2).to_pylist(), part.column(3).to_pylist())
-                p = chain(x) if chain else np.zeros((len(CATEGORIES), len(x)))
+                p = chain([np.array(h, np.int64) for h in part.column(2).to_pylist()], part.column(3).to_pylist()) if chain else np.zeros((depth, part.num_rows))
                 flag = (p[-1] >= (chain.threshold if chain else 2.0)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(1), *map(pa.array, p), pa.array(flag)], ["doc_id", *[f"p_{c}" for c in CATEGORIES], "toxic"])
+                yield pa.RecordBatch.from_arrays([part.column(1), *map(pa.array, p), pa.array(flag)], ["doc_id", *[f"p_{c}" for c in names], "toxic"])
 
-    return found.mapInArrow(score, "doc_id long, " + ", ".join(f"p_{c} double" for c in CATEGORIES) + ", toxic int")
+    return found.mapInArrow(score, "doc_id long, " + ", ".join(f"p_{c} double" for c in names) + ", toxic int")
 
 
-def bounded(labels: DataFrame) -> DataFrame:
-    """Labels, to be broadcast if there are few enough."""
-    labels = staged(labels, "labels")
-    return F.broadcast(labels) if labels.count() <= BROADCAST else labels
+def part_column():
+    """``part_of`` as a column of doc_id."""
+    return (F.expr("crc32(cast(cast(doc_id as string) as binary)) div 4") % FOLDS).cast("int")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

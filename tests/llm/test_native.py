@@ -246,6 +246,8 @@ def test_sharding(spark, odd):
             assert slots == list(range(len(slots)))
         assert all(r.grown_shard in (r.shard, 8) for r in got)
     assert sharded(odd.limit(0), [1.0], [1.0, 1.0]).count() == 0
+    narrow = spark.range(300).selectExpr("cast(id as int) as doc_id", "'x' as text")
+    assert {(r.doc_id, r.shard) for r in sharded(narrow, [1.0] * 8, [1.0] * 9).collect()} == {(k, shard_of(k, [1.0] * 8)) for k in range(300)}
     assert op5_sharding(spark, SF).columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm.common import documents, staged
+from ledgerspark.llm.common import documents, scratch, staged
 from ledgerspark.llm.labels import labelled
 from ledgerspark.llm.packing import WORD_BPE, pack
 from ledgerspark.llm.quality_model import kept_by_model
@@ -53,8 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after another, over ``documents``; what a stage returns is written and read again."""
+    """All stages, one after another, over ``documents``; what a stage returns is written and read again. What a stage
+    itself had to write goes when it has ended."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

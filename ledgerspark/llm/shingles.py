@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import scratch, staged, whole_row
@@ -19,6 +19,10 @@ ROWS, BANDS = 5, 24
 SEED = 42
 #: Row ids, and bytes of text, up to which what is compared is broadcast; beyond, the joins are shuffled.
 IDS, BYTES = 4_000_000, 16 << 20
+#: Others that a node is compared with first, of those that share a bucket with it.
+ENDS = 2
+#: Counters of how common shingles are.
+COUNTERS = 1 << 20
 #: Shingles that a worker remembers between pairs.
 MEMORY = 300_000
 
@@ -128,32 +132,67 @@ def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
     return equal.unionByName(links(first.select("fp")).join(side("a", "x"), "a").join(side("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
 
 
+def hashed(texts, words: int) -> Iterator:
+    """The hashes of each text's shingles (different ones), for an Arrow column of texts."""
+    import numpy as np
+    import pyarrow as pa
+    import xxhash
+
+    for t in texts.cast(pa.large_binary()):
+        yield np.array(sorted(xxhash.xxh64_intdigest(s, SEED) for s in shingles(t.as_py() or b"", words)), np.uint64)
+
+
+def rarity(texts: DataFrame, words: int = WORDS):
+    """How many shingles of all ``texts`` (node, part, text) fall into each of ``COUNTERS`` counters, as an array."""
+    import numpy as np
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        sums = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for hashes in hashed(batch.column(2), words):
+                np.add.at(sums, (hashes % np.uint64(COUNTERS)).astype(np.int64), 1)
+        there = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(sums[there])], ["counter", "n"])
+
+    rows = texts.select("node", "part", "text").mapInArrow(count, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTERS, np.int64)
+    out[rows.column("counter").to_numpy()] = rows.column("n").to_numpy()
+    return np.minimum(out, 2**31 - 1).astype(np.int32)
+
+
 def prefixes(texts: DataFrame, words: int = WORDS) -> DataFrame:
     """h, node, part, n, own, pos: the shingles (hashed) of ``texts`` (node, part, text) that a near copy must share one
     of, with the size of the set and the shingle's place in it, rarest first.
 
     A near copy shares four fifths of a set, so it holds one of its first n - ceil(4n / 5) + 1 shingles in any order
-    that is the same for all sets. In the order of rarity these are the text's own edits; ``own`` of them occur in no
-    other text and so are left out.
+    that is the same for all sets. In the order of rarity these are the text's own edits. Rarity is read off counters,
+    so that no shingle is shuffled for it; shingles that share a counter look more common than they are, which puts
+    them later and costs candidates, not links. ``own`` are alone in their counter, so in no other text, and left out.
     """
+    import numpy as np
 
-    def hashed(batches: Iterator) -> Iterator:
+    counts = texts.sparkSession.sparkContext.broadcast(rarity(texts, words))
+
+    def first(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import xxhash
 
         for batch in batches:
-            found = [{xxhash.xxh64_intdigest(s, SEED) for s in shingles(t.as_py() or b"", words)} for t in batch.column(2).cast(pa.large_binary())]
-            signed = [[h - (1 << 64) if h >> 63 else h for h in f] for f in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(signed, pa.list_(pa.int64()))], ["node", "part", "hs"])
-
-    sets = texts.select("node", "part", "text").mapInArrow(hashed, "node long, part long, hs array<long>")
-    each = staged(sets.select("node", "part", F.size("hs").alias("n"), F.explode("hs").alias("h")), "tokens")
-    counts = staged(each.groupBy("h").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "counts")
-    lists = each.join(counts, "h").groupBy("node", "part", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("s"))
-    lists = lists.withColumn("own", F.col("n") - F.size("s"))
-    length = F.col("n") - F.ceil(F.col("n") * SHARED / OF) + 1 - F.col("own")
-    heads = lists.where(length > 0).select("node", "part", "n", "own", F.posexplode(F.slice("s", F.lit(1), length.cast("int"))).alias("at", "x"))
-    return staged(heads.select("x.h", "node", "part", "n", "own", (F.col("own") + F.col("at")).alias("pos")), "prefixes")
+            out = [[] for _ in range(6)]
+            for node, part, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), hashed(batch.column(2), words), strict=True):
+                common = counts.value[(h % np.uint64(COUNTERS)).astype(np.int64)]
+                n, own = len(h), int((common == 1).sum())
+                length = n - -(-n * SHARED // OF) + 1
+                at = np.arange(own, min(length, n))
+                if len(at):
+                    chosen = h[np.lexsort((h, common))[at]].view(np.int64)
+                    for column, values in zip(out, (chosen, *(np.full(len(at), x, np.int64) for x in (node, part, n, own)), at), strict=True):
+                        column.append(values)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["h", "node", "part", "n", "own", "pos"])
+
+    return staged(texts.select("node", "part", "text").mapInArrow(first, "h long, node long, part long, n long, own long, pos long"), "prefixes")
 
 
 def possible(a: str, b: str):
@@ -169,10 +208,9 @@ def possible(a: str, b: str):
 def pairs_across(entries: DataFrame, central: bool) -> DataFrame:
     """Pairs of nodes in different components that share a shingle of their prefixes and may be near copies: all, or
     only each with the most central one of the shingle, that is the one with fewest shingles of its own."""
-    entry = F.struct("own", "node", "part", "n", "pos")
-    each = entries.select("h", entry.alias("e"))
-    other = each.groupBy("h").agg(F.min("e").alias("o")) if central else each.withColumnRenamed("e", "o")
-    met = each.join(other, "h").where(possible("e", "o"))
+    each = entries.select("h", F.struct("own", "node", "part", "n", "pos").alias("e"))
+    first = each.groupBy("h").agg(F.min("e").alias("o"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    met = each.join(first if central else each.withColumnRenamed("e", "o"), "h").where(possible("e", "o"))
     return ordered(met.select(F.col("e.node").alias("a"), F.col("o.node").alias("b")))
 
 
@@ -184,8 +222,8 @@ def with_parts(df: DataFrame, labels: DataFrame) -> DataFrame:
 def labelled_components(rows: DataFrame, words: int = WORDS) -> DataFrame:
     """node, label of every different shingle set in ``rows`` (doc with text, doc_id, row_id, node, fp, keys).
 
-    First those within two bits of SimHash are compared, and each with the smallest and the largest node of each of its
-    MinHash buckets, which is as much work as there are members and joins nearly all copies. Nodes of buckets that hold
+    First those within two bits of SimHash are compared, and each with ``ENDS`` others, those that are the smallest or the
+    largest node of most of its MinHash buckets, which is as much work as there are nodes and joins nearly all copies. Nodes of buckets that hold
     several components still are then compared by the rare shingles that near copies must share (``prefixes``): with the
     most central node of each such shingle first, then all pairs that are in different components still. Pairs within a
     component can't change it, and a large bucket is never compared with itself, so no link is lost that the bands
@@ -196,8 +234,11 @@ def labelled_components(rows: DataFrame, words: int = WORDS) -> DataFrame:
     keyed = rows.select("node", F.explode("keys").alias("key"))
     several = staged(keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high"), "buckets")
     members = staged(keyed.join(several, "key").distinct(), "members")
-    ends = members.select(F.col("low").alias("a"), F.col("node").alias("b")).unionByName(members.select(F.col("node").alias("a"), F.col("high").alias("b")))
-    edges = verified(staged(ordered(ends.unionByName(fingerprint_pairs(nodes.select("node", "fp")))), "ends"), nodes, rows, words)
+    ends = members.select("node", F.explode(F.array("low", "high")).alias("end")).where("node <> end").groupBy("node", "end").agg(F.count(F.lit(1)).alias("bands"))
+    order = Window.partitionBy("node").orderBy(F.desc("bands"), "end")
+    ends = ends.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ENDS).select(F.col("node").alias("a"), F.col("end").alias("b"))
+    pairs = ordered(ends.unionByName(fingerprint_pairs(nodes.select("node", "fp"))))
+    edges = verified(staged(pairs, "ends"), nodes, rows, words)
     labels = staged(connected_components(nodes.select("node", "label"), edges), "components")
 
     parts = with_parts(members.select("key", "node"), labels)

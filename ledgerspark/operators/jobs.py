@@ -86,17 +86,23 @@ def demand_reports(manifest: DataFrame) -> DataFrame:
     return manifest.where(kind & (low.contains("women") | low.contains("child")))
 
 
+def with_overrides(rows: DataFrame, overrides: DataFrame, key: str, columns: list[str], only=None) -> DataFrame:
+    """``rows`` with ``columns`` of those that ``overrides`` (``key``, unique, and ``columns``) has replaced, nulls
+    included. ``only``: which rows may be replaced."""
+    own = overrides.select(key, F.struct(*columns).alias("__own"))
+    over = F.col("__own").isNotNull() & (F.lit(True) if only is None else only)
+    return rows.join(own, key, "left").withColumns({c: F.when(over, F.col("__own")[c]).otherwise(F.col(c)) for c in columns}).drop("__own")
+
+
 def demand_vs_allocation(manifest: DataFrame, lines: DataFrame, overrides: DataFrame) -> DataFrame:
     """report_no, fy, projected, allocated, cut_pct, confidence, note of each report of ``manifest`` (report_no, title,
     report_type, doc_id). ``overrides`` (report_no, projected, allocated, confidence, note) replace what is found."""
     reports = demand_reports(manifest).select("report_no", fiscal.fy_from_title(F.col("title")).alias("fy"), "doc_id")
     found = projected_and_allocated(lines.join(reports.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_semi"))
-    own = overrides.select("report_no", F.struct("projected", "allocated", "confidence", "note").alias("o"))
-    rows = reports.join(found, "doc_id", "left").join(own, "report_no", "left")
     missing = F.when(F.col("doc_id").isNull(), "no pdf_path in manifest").when(F.col("confidence").isNull(), "pdf not found")
-    over = F.col("o").isNotNull() & missing.isNull()
-    pick = lambda c: F.when(over, F.col(f"o.{c}")).otherwise(F.col(c))
-    out = rows.select("report_no", "fy", pick("projected").alias("projected"), pick("allocated").alias("allocated"), F.coalesce(pick("confidence"), F.lit("none")).alias("confidence"), F.coalesce(missing, pick("note"), F.lit("")).alias("note"))
+    rows = reports.join(found, "doc_id", "left").withColumn("missing", missing)
+    rows = with_overrides(rows, overrides, "report_no", ["projected", "allocated", "confidence", "note"], F.col("missing").isNull())
+    out = rows.select("report_no", "fy", "projected", "allocated", F.coalesce("confidence", F.lit("none")).alias("confidence"), F.coalesce("missing", "note", F.lit("")).alias("note"))
     return out.withColumn("cut_pct", values.share(F.col("allocated") - F.col("projected"), F.col("projected"), 2))
 
 
@@ -110,15 +116,24 @@ def spend_series(rows: DataFrame, position: str) -> DataFrame:
     return both.withColumn("be", F.when(F.col("actual").isNull(), F.col("be"))).where("actual is not null or be is not null")
 
 
+def spine_join(years: DataFrame, demand: DataFrame, spend: DataFrame, external: DataFrame, deflators: DataFrame) -> DataFrame:
+    """``years`` (fiscal_year) with all series that have it; what is allocated is the spending series' estimate where the
+    demands have none or zero."""
+    rows = years.join(demand, "fiscal_year", "left").join(spend, "fiscal_year", "left").join(external, "fiscal_year", "left").join(deflators, "fiscal_year", "left")
+    return rows.withColumn("allocated", F.when(~is_given("allocated") & is_given("be"), F.col("be")).otherwise(F.col("allocated")))
+
+
+def is_given(c: str):
+    return F.coalesce(F.col(c), F.lit(0)) != 0
+
+
 def real_terms_table(years: DataFrame, demand: DataFrame, spend: DataFrame, external: DataFrame, deflators: DataFrame) -> DataFrame:
     """Nominal and real figures of each of ``years`` (fiscal_year). demand: demanded, allocated; spend: see
     ``spend_series``; external: full_scheme; deflators: deflator; all by fiscal_year."""
-    rows = years.join(demand, "fiscal_year", "left").join(spend, "fiscal_year", "left").join(external, "fiscal_year", "left").join(deflators, "fiscal_year", "left")
-    given = lambda c: F.coalesce(F.col(c), F.lit(0)) != 0
-    rows = rows.withColumn("allocated", F.when(~given("allocated") & given("be"), F.col("be")).otherwise(F.col("allocated")))
+    rows = spine_join(years, demand, spend, external, deflators)
     real = lambda c: values.deflated(F.col(c), F.col("deflator")).alias(f"{c}_real")
-    spent = F.when(given("actual") & given("allocated"), values.share(F.col("actual"), F.col("allocated")))
-    cut = F.when(given("demanded") & given("allocated"), values.share(F.col("allocated") - F.col("demanded"), F.col("demanded")))
+    spent = F.when(is_given("actual") & is_given("allocated"), values.share(F.col("actual"), F.col("allocated")))
+    cut = F.when(is_given("demanded") & is_given("allocated"), values.share(F.col("allocated") - F.col("demanded"), F.col("demanded")))
     figures = ["demanded", "allocated", "full_scheme", "actual"]
     return rows.select("fiscal_year", *figures, spent.alias("pct_spent"), cut.alias("cut_pct"), *map(real, figures))
 

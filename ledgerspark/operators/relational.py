@@ -18,6 +18,11 @@ def latest_reading(df: DataFrame, keys: list[str], by: str, payload: list[str])
     return df.groupBy(*keys).agg(F.max_by(F.struct(*payload), by).alias("p")).select(*keys, "p.*")
 
 
+def latest_period(df: DataFrame, keys: list[str], period: str, wanted: str) -> DataFrame:
+    """``keys`` and a period: the wanted one where the key has it, else its last."""
+    return df.groupBy(*keys).agg(F.coalesce(F.max(F.when(F.col(period) == wanted, F.col(period))), F.max(period)).alias(period))
+
+
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Last write wins: ``new``, its first row in ``order`` for each key, replaces what is there."""
     own = first_per(new, keys, order)
@@ -119,6 +124,13 @@ def estimate_rows(df: DataFrame, keys: list[str], fy: str, measures: dict[str, s
     return df.select(*keys, F.explode(F.array(*kinds)).alias("r")).select(*keys, "r.*")
 
 
+def national_totals(rows: DataFrame) -> DataFrame:
+    """Sums of gsdp, gap and grants over all states, what isn't reported left out, and the gap's share of the gsdp in
+    percent (0 without a gsdp). One row."""
+    sums = rows.agg(*[F.sum(c).alias(c) for c in ("gsdp", "gap", "grants")])
+    return sums.withColumn("intensity", F.when(F.col("gsdp") > 0, 100 * F.col("gap") / F.col("gsdp")).otherwise(0.0))
+
+
 def top_n(df: DataFrame, measure: str, n: int, tie: str) -> DataFrame:
     """The n largest, unreported ones last; Spark keeps n rows per task."""
     return df.orderBy(F.desc_nulls_last(measure), F.col(tie)).limit(n)

@@ -27,16 +27,28 @@ def continued(df: DataFrame, keys: list[str], order: str, starts, text: str) ->
 
 
 def anchored_groups(df: DataFrame, keys: list[str], position: str, gap: float) -> DataFrame:
-    """Sorted positions in groups: a new one starts ``gap`` or more from the group's first. One row per group."""
-    sorted_ = F.array_sort(F.collect_list(F.col(position).cast("double")))
+    """Sorted positions in groups: a new one starts ``gap`` or more from the group's first. One row per group: ``keys``,
+    group_no, anchor, n. Null positions go.
 
-    def step(acc, y):
-        last = F.try_element_at(acc, F.lit(-1))
-        fresh = (F.size(acc) == 0) | (F.abs(y - F.coalesce(F.get(last, F.lit(0)), F.lit(0.0))) >= gap)
-        return F.when(fresh, F.concat(acc, F.array(F.array(y)))).otherwise(F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.concat(F.coalesce(last, F.array().cast("array<double>")), F.array(y)))))
+    A position that is ``gap`` or more from the one before always starts a group, so keys are cut there first, and only
+    positions that lie closer together are folded as one list. A position that occurs often is counted before.
+    """
+    y = F.col(position).cast("double").alias("y")
+    counted = df.where(F.col(position).isNotNull()).groupBy(*keys, y).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy(*keys).orderBy("y")
+    cut = (F.col("y") - F.lag("y").over(order) >= gap).cast("int")
+    runs = counted.withColumn("cut", F.coalesce(cut, F.lit(0))).withColumn("run", F.sum("cut").over(order))
 
-    groups = F.aggregate("ys", F.array().cast("array<array<double>>"), step)
-    return df.groupBy(*keys).agg(sorted_.alias("ys")).select(*keys, F.posexplode(groups).alias("group_no", "ys")).select(*keys, "group_no", F.get("ys", F.lit(0)).alias("anchor"), F.size("ys").alias("n"))
+    def step(acc, p):
+        last = F.try_element_at(acc, F.lit(-1))
+        fresh = (F.size(acc) == 0) | (F.abs(p["y"] - F.coalesce(last["y"], F.lit(0.0))) >= gap)
+        more = F.struct(last["y"].alias("y"), (last["n"] + p["n"]).alias("n"))
+        return F.when(fresh, F.concat(acc, F.array(p))).otherwise(F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(more)))
+
+    groups = F.aggregate(F.array_sort(F.collect_list(F.struct("y", "n"))), F.array().cast("array<struct<y:double,n:bigint>>"), step)
+    rows = runs.groupBy(*keys, "run").agg(groups.alias("g")).select(*keys, F.explode("g").alias("g"))
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy("g.y")) - 1
+    return rows.select(*keys, number.alias("group_no"), F.col("g.y").alias("anchor"), F.col("g.n").alias("n"))
 
 
 def replay(events: DataFrame, order: list[str]) -> DataFrame:

@@ -53,15 +53,17 @@ def rules_sql(column: str) -> tuple[str, str]:
 
 def heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """code, parent_code, kind, label: the chart of accounts that the lines use. A label is the first part's name."""
-    own = budget_lines(spark, sf_dir).join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    own = budget_lines(spark, sf_dir).groupBy("major", "sub", "minor").agg(F.min("l_partkey").alias("first_part"))
     major, sub = F.col("major"), F.col("sub")
     levels = F.array(
         F.struct(major.alias("code"), F.lit(None).cast("string").alias("parent_code"), F.lit("major").alias("kind")),
         F.struct(F.when(sub != "00", F.concat_ws("-", major, sub)).alias("code"), major.alias("parent_code"), F.lit("submajor").alias("kind")),
         F.struct(fiscal.head_code(major, sub, F.col("minor")).alias("code"), fiscal.parent_code(major, sub).alias("parent_code"), F.lit("minor").alias("kind")),
     )
-    rows = own.select(F.explode(levels).alias("h"), "l_partkey", "p_name").where("h.code is not null")
-    return rows.groupBy("h.code", "h.parent_code", "h.kind").agg(F.min_by("p_name", "l_partkey").alias("label"))
+    rows = own.select(F.explode(levels).alias("h"), "first_part").where("h.code is not null")
+    codes = rows.groupBy("h.code", "h.parent_code", "h.kind").agg(F.min("first_part").alias("first_part"))
+    names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("first_part"), F.col("p_name").alias("label"))
+    return codes.join(names, "first_part").select("code", "parent_code", "kind", "label")
 
 
 HEADS = LINES + """, heads AS (

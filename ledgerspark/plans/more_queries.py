@@ -206,10 +206,9 @@ def win_11(spark, sf_dir):
     return win.binned_words(rows, ["user_id"], "value", "event_id", [(120, "code"), (250, "sub"), (310, "minor")], "label")
 
 
-@query("win_16", f"WITH {LINES} SELECT state, coalesce(max(CASE WHEN fy = '1999-00' AND l_partkey % 50 = 0 THEN fy END), max(fy)) AS fy FROM lines WHERE l_partkey % 50 = 0 GROUP BY 1")
+@query("win_16", f"WITH {LINES} SELECT state, col_type, major, coalesce(max(CASE WHEN fy = '1999-00' THEN fy END), max(fy)) AS fy FROM lines GROUP BY 1, 2, 3")
 def win_16(spark, sf_dir):
-    rows = budget_lines(spark, sf_dir).where("l_partkey % 50 = 0")
-    return rows.groupBy("state").agg(F.coalesce(F.max(F.when(F.col("fy") == "1999-00", F.col("fy"))), F.max("fy")).alias("fy"))
+    return rel.latest_period(budget_lines(spark, sf_dir), ["state", "col_type", "major"], "fy", "1999-00")
 
 
 @query("srt_01", "SELECT p_brand AS code, p_size AS n, p_partkey FROM part ORDER BY 1, 2, 3 LIMIT 40")
@@ -266,8 +265,8 @@ def snk_09(spark, sf_dir):
 
 @query("ext_01", f"WITH {PROBES} SELECT doc_id, len(regexp_extract_all(lower(text), 'cut')) + len(regexp_extract_all(lower(text), 'freeze')) AS austerity_score FROM probes")
 def ext_01(spark, sf_dir):
-    """A provider that a user adds in place of the default markers."""
-    from .extensions import SIGNALS, text_signals
+    """A provider that a user passes in place of the default markers."""
+    from .extensions import text_signals
 
-    SIGNALS["short"] = lambda text: {"austerity_score": values.signal(text, ["cut", "freeze"]).cast("long")}
-    return text_signals(probes(spark, sf_dir), "text", "short").select("doc_id", "austerity_score")
+    short = lambda text: {"austerity_score": values.signal(text, ["cut", "freeze"]).cast("long")}
+    return text_signals(probes(spark, sf_dir), "text", short).select("doc_id", "austerity_score")

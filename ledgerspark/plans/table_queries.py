@@ -147,9 +147,10 @@ def agg_05(spark, sf_dir):
     return budget_lines(spark, sf_dir).groupBy("state", "fy", "major").agg(F.greatest(F.max("amount"), F.lit(0)).cast("double").alias("amount"))
 
 
-@query("agg_11", f"WITH {STATEMENTS} SELECT round(sum(liabilities / (pct / 100)), 0) AS gsdp, count(grants) AS n_reported FROM statements")
+@query("agg_11", f"WITH {STATEMENTS}, t AS (SELECT sum(liabilities / (pct / 100)) AS gsdp, sum(devolution * 0.217 / (1 - 0.217)) AS gap, sum(grants) AS grants FROM statements) SELECT round(gsdp, 0) AS gsdp, round(gap, 0) AS gap, round(grants, 0) AS grants, round(CASE WHEN gsdp > 0 THEN 100 * gap / gsdp ELSE 0 END, 6) AS intensity FROM t")
 def agg_11(spark, sf_dir):
-    return statements(spark, sf_dir).agg(F.round(F.sum(fiscal_gsdp()), 0).alias("gsdp"), F.count("grants").alias("n_reported"))
+    own = statements(spark, sf_dir).select(fiscal_gsdp().alias("gsdp"), values.devolution_gap(F.col("devolution")).alias("gap"), "grants")
+    return rel.national_totals(own).select(*[F.round(c, 0).alias(c) for c in ("gsdp", "gap", "grants")], F.round("intensity", 6).alias("intensity"))
 
 
 def fiscal_gsdp():
@@ -241,7 +242,13 @@ def win_08(spark, sf_dir):
     return amount_lines(spark, sf_dir).select("doc_id", "line_no", F.concat_ws(" ", "line", F.lead("line", 1).over(w), F.lead("line", 2).over(w)).alias("three"))
 
 
-@query("win_10", None)
+ANCHORS = """WITH RECURSIVE r AS MATERIALIZED (SELECT user_id, v, n, row_number() OVER (PARTITION BY user_id ORDER BY v) AS k FROM (SELECT user_id, CAST(value AS DOUBLE) AS v, count(*) AS n FROM events WHERE value IS NOT NULL GROUP BY 1, 2)),
+g AS (SELECT user_id, k, n, v AS anchor, 0 AS group_no FROM r WHERE k = 1
+  UNION ALL SELECT r.user_id, r.k, r.n, CASE WHEN abs(r.v - g.anchor) >= 3 THEN r.v ELSE g.anchor END, g.group_no + CASE WHEN abs(r.v - g.anchor) >= 3 THEN 1 ELSE 0 END FROM g JOIN r ON r.user_id = g.user_id AND r.k = g.k + 1)
+SELECT user_id, CAST(group_no AS INT) AS group_no, anchor, CAST(sum(n) AS BIGINT) AS n FROM g GROUP BY 1, 2, 3"""
+
+
+@query("win_10", ANCHORS)
 def win_10(spark, sf_dir):
     return win.anchored_groups(table(spark, sf_dir, "events"), ["user_id"], "value", 3.0)
 

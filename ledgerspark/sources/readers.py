@@ -12,8 +12,16 @@ def read_csv_table(spark: SparkSession, path: str, columns: list[str]) -> DataFr
     return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
 
 
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether ``path``, which may be a glob, has any file."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(found))
+
+
 def read_payload(spark: SparkSession, path: str, key: str, schema: str) -> DataFrame:
-    """JSON files that hold a list, or an object with the list under ``key``."""
+    """JSON files that hold a list, or an object with the list under ``key``. A file that isn't there holds no rows."""
+    if not there(spark, path):
+        return spark.createDataFrame([], schema)
     value = F.trim("value")
     rows = spark.read.text(path, wholetext=True)
     found = F.when(value.startswith("["), F.from_json(value, f"array<{schema}>")).otherwise(F.from_json(value, f"struct<`{key}`: array<{schema}>>")[key])
@@ -68,6 +76,16 @@ def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
     df.select(*columns).write.csv(path, header=True, emptyValue="")
 
 
+def append(df: DataFrame, path: str) -> None:
+    """Adds rows to a table, equal ones too."""
+    df.write.mode("append").parquet(path)
+
+
+def write_manifest(df: DataFrame, path: str, status) -> None:
+    """Adds a JSON line for each row, with what became of it."""
+    df.withColumn("status", status).write.mode("append").json(path)
+
+
 def json_payload(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """One JSON text per key, its rows as a list."""
     rest = [c for c in df.columns if c not in keys]

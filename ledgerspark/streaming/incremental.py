@@ -2,30 +2,73 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
-def run_incremental(spark: SparkSession, source: str, schema, folder: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> DataFrame:
+class Snapshots:
+    """Versions of a table under ``folder``, cut into buckets by key. A version is a list that says which batch wrote each
+    bucket last, so that a batch writes the buckets only that it touches. Data come before the list; a failed batch
+    leaves the last version whole, and a batch that is run again replaces its own files only."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.paths = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        self.fs = self.paths(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def latest(self) -> int | None:
+        """The number of the last version, read off the folder's own list."""
+        root = self.paths(self.folder)
+        names = [s.getPath().getName() for s in self.fs.listStatus(root)] if self.fs.exists(root) else []
+        found = [int(m[1]) for n in names if (m := re.fullmatch(r"version-(\d+)", n)) and self.fs.exists(self.paths(f"{self.folder}/{n}/_SUCCESS"))]
+        return max(found, default=None)
+
+    def buckets(self, number: int) -> dict[int, int]:
+        return {r["bucket"]: r["batch"] for r in self.spark.read.parquet(f"{self.folder}/version-{number:09d}").collect()}
+
+    def read(self, of: dict[int, int]) -> DataFrame | None:
+        """The rows of the buckets ``of`` (bucket to batch)."""
+        paths = [f"{self.folder}/data-{batch:09d}/bucket={bucket}" for bucket, batch in of.items()]
+        there = [p for p in paths if self.fs.exists(self.paths(p))]
+        return self.spark.read.parquet(*there) if there else None
+
+    def write(self, number: int, rows: DataFrame, bucket, of: dict[int, int]) -> None:
+        rows.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/data-{number:09d}")
+        self.spark.createDataFrame(list(of.items()), "bucket int, batch int").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/version-{number:09d}")
+
+
+def run_incremental(spark: SparkSession, source: str, schema, folder: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame], key: str | None = None, prepare=None, n_buckets: int = 16) -> DataFrame:
     """Take every file of ``source`` that no earlier run took and merge it into the snapshot under ``folder``.
 
-    ``merge(snapshot or None, batch)`` gives the next snapshot. Each batch writes a new folder, so a failed one leaves
-    the last snapshot whole; its number names it, so a batch that is run again replaces its own result only.
+    ``prepare(rows)`` gives rows with the column ``key`` (by default they have it), and with ``arrived``, when their file
+    was written, if it keeps that. ``merge(rows of the touched buckets or None, batch)`` gives these buckets anew; it
+    must keep every key. Without a ``key`` all rows are one bucket. A batch whose predecessor's version is missing fails. Without any row the result is empty.
     """
-    path = lambda n: f"{folder}/snapshot-{n:09d}"
-    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    there = lambda n: fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path(n) + "/_SUCCESS"))
+    prepare = prepare or (lambda rows: rows.drop("arrived"))
+    table = Snapshots(spark, folder)
+    bucket = F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int") if key else F.lit(0)
 
     def apply(batch: DataFrame, number: int) -> None:
-        before = spark.read.parquet(path(number - 1)) if number and there(number - 1) else None
-        merge(before, batch).write.mode("overwrite").parquet(path(number))
+        versions = {}
+        if number:
+            if not table.fs.exists(table.paths(f"{folder}/version-{number - 1:09d}/_SUCCESS")):
+                raise RuntimeError(f"version {number - 1} of {folder} is missing")
+            versions = table.buckets(number - 1)
+        new = prepare(batch)
+        touched = {r["b"] for r in new.select(bucket.alias("b")).distinct().collect()}
+        before = table.read({b: n for b, n in versions.items() if b in touched})
+        table.write(number, merge(before, new), bucket, versions | dict.fromkeys(touched, number))
 
-    stream = spark.readStream.schema(schema).parquet(source)
+    stream = spark.readStream.schema(schema).parquet(source).select("*", F.col("_metadata.file_modification_time").alias("arrived"))
     query = stream.writeStream.foreachBatch(apply).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).queryName(f"run_{uuid.uuid4().hex}").start()
     query.awaitTermination()
-    number = 0
-    while there(number + 1):
-        number += 1
-    return spark.read.parquet(path(number))
+    last = table.latest()
+    found = table.read(table.buckets(last)) if last is not None else None
+    if found is None:
+        nothing = spark.createDataFrame([], schema).withColumn("arrived", F.lit(None).cast("timestamp"))
+        return merge(None, prepare(nothing))
+    return found

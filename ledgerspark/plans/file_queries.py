@@ -94,11 +94,11 @@ def joi_06(spark, sf_dir):
     return rows.select("fiscal_year", *[F.col(c).cast("double").alias(c) for c in ("demanded", "allocated", "actual", "full_scheme", "deflator")])
 
 
-@query("joi_14", "SELECT o_orderkey AS report_no, CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS projected, CASE WHEN o_orderkey % 3 = 0 THEN 'manual' ELSE 'text' END AS confidence FROM orders")
+@query("joi_14", "SELECT o_orderkey AS report_no, CAST(CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 3 = 0 THEN 7 ELSE o_custkey END AS DOUBLE) AS projected, CASE WHEN o_orderkey % 3 = 0 THEN 'manual' ELSE 'text' END AS confidence FROM orders")
 def joi_14(spark, sf_dir):
-    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("report_no"), F.col("o_custkey").alias("projected"), F.lit("text").alias("confidence"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("report_no"), F.col("o_custkey").cast("double").alias("projected"), F.lit("text").alias("confidence"))
     key = F.col("report_no")
-    manual = rows.where(key % 3 == 0).select("report_no", F.when(key % 6 != 0, F.lit(7).cast(rows.schema["projected"].dataType)).alias("projected"), F.lit("manual").alias("confidence"))
+    manual = rows.where(key % 3 == 0).select("report_no", F.when(key % 6 != 0, F.lit(7.0)).alias("projected"), F.lit("manual").alias("confidence"))
     return jobs.with_overrides(rows, manual, "report_no", ["projected", "confidence"])
 
 

@@ -33,6 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
 OPEN: list[list[str]] = []
 
 
+#: Folders that steps of a pipeline have left, with the number of the step.
+LEFT: list[tuple[int, str]] = []
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """What is staged in this block is removed at its end, but for tables staged with ``keep``: those belong to the
@@ -41,10 +50,25 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         for folder in OPEN.pop():
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(conf).delete(path, True)
+            removed(spark, folder)
+
+
+@contextmanager
+def step(number: int, docs: DataFrame) -> Iterator[None]:
+    """One of several steps, each of which works on the table that the step before returned, once that has been written.
+    So what steps of lower numbers staged goes at the start, but for what ``docs`` reads itself. What is staged in this
+    block stays for the table that it returns, until a later step starts."""
+    reads = docs.inputFiles() if any(k < number for k, _ in LEFT) else []
+    done = [x for x in LEFT if x[0] < number and not any(x[1] in file for file in reads)]
+    for left in done:
+        removed(docs.sparkSession, left[1])
+        LEFT.remove(left)
+    OPEN.append([])
+    try:
+        yield
+    finally:
+        LEFT.extend((number, folder) for folder in OPEN.pop())
 
 
 def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:

@@ -17,14 +17,14 @@ WORDS, SHARED, OF = 5, 4, 5
 #: Minima in a band, bands. A pair at 0.8 agrees in a band with 0.8**5, so in none of 24 with 7e-5.
 ROWS, BANDS = 5, 24
 SEED = 42
-#: Row ids, and bytes of text, up to which what is compared is broadcast; beyond, the joins are shuffled.
-IDS, BYTES = 4_000_000, 16 << 20
+#: Row ids up to which those of the texts to compare are broadcast; beyond, the join is shuffled.
+IDS = 4_000_000
+#: Others of one text that are compared with it in one place.
+CROWD = 1000
 #: Others that a node is compared with first, of those that share a bucket with it.
 ENDS = 2
 #: Counters of how common shingles are.
 COUNTERS = 1 << 20
-#: Shingles that a worker remembers between pairs.
-MEMORY = 300_000
 
 
 def shingles(text: bytes, words: int = WORDS) -> set[bytes]:
@@ -86,41 +86,48 @@ def texts_of(ids: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int = WORDS) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose texts are ``near``."""
-    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = texts_of(ids, nodes, rows)
-    size = texts.agg(F.sum(F.octet_length("text"))).first()[0]
-    texts = F.broadcast(texts) if (size or 0) <= BYTES else texts
-    sides = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b")
+    """Those of ``pairs`` (a, b) whose texts are ``near``.
+
+    The texts of all a of one b are shuffled to where the text of b is, each text once for each of its pairs. A b with more
+    than ``CROWD`` others is dealt over as many places as that takes, with its text in each.
+    """
+    crowd = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / CROWD).alias("places"))
+    others = pairs.join(crowd, "b").select(F.col("a").alias("node"), F.col("b").alias("hub"), F.pmod(F.xxhash64("a"), "places").alias("place"))
+    hubs = crowd.select(F.col("b").alias("node"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1)).alias("place"))
+    sent = others.unionByName(hubs).join(nodes.select("node", F.col("label.row_id").alias("row_id")), "node")
+    sent = staged(sent.select("row_id", "hub", "place", "node"), "sent")
+    sent = F.broadcast(sent) if sent.count() <= IDS else sent
+    texts = rows.select("row_id", F.col("doc.text").alias("text")).join(sent, "row_id").select("hub", "place", "node", "text")
+    met = texts.repartition("hub", "place").sortWithinPartitions("hub", "place", F.col("node") != F.col("hub"))
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known: dict[int, set[bytes]] = {}
-        held = 0
+        own: set[bytes] = set()
+        for batch in batches:
+            a, b = [], []
+            for hub, node, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).cast(pa.large_binary()), strict=True):
+                found = shingles(text.as_py() or b"", words)
+                if node == hub:
+                    own = found
+                elif near(found, own):
+                    a.append(node)
+                    b.append(hub)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-        def of(node: int, text: pa.Scalar) -> set[bytes]:
-            nonlocal held
-            if node not in known:
-                if held > MEMORY:
-                    known.clear()
-                    held = 0
-                known[node] = shingles(text.as_py() or b"", words)
-                held += len(known[node])
-            return known[node]
+    return staged(met.mapInArrow(compare, "a long, b long"), "near")
 
-        for batch in batches:
-            a, b = batch.column(0), batch.column(1)
-            x, y = batch.column(2).cast(pa.large_binary()), batch.column(3).cast(pa.large_binary())
-            found = [near(of(p, x[k]), of(q, y[k])) for k, (p, q) in enumerate(zip(a.to_pylist(), b.to_pylist(), strict=True))]
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(found, pa.bool_()))
 
-    return staged(sides.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "near")
+def once(pairs: DataFrame) -> DataFrame:
+    """Each of ``pairs`` (a, b) of different nodes once, whichever way round it occurs."""
+    both = (F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
+    return pairs.where("a <> b").groupBy(*both).agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.*")
 
 
-def ordered(pairs: DataFrame) -> DataFrame:
-    """Different pairs a < b of ``pairs`` (a, b)."""
-    return pairs.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose nodes are in different components."""
+    part = lambda node, out: labels.select(F.col("node").alias(node), F.col("label.node").alias(out))
+    return pairs.join(part("a", "x"), "a").join(part("b", "y"), "b").where("x <> y").select("a", "b")
 
 
 def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
@@ -211,7 +218,7 @@ def pairs_across(entries: DataFrame, central: bool) -> DataFrame:
     each = entries.select("h", F.struct("own", "node", "part", "n", "pos").alias("e"))
     first = each.groupBy("h").agg(F.min("e").alias("o"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     met = each.join(first if central else each.withColumnRenamed("e", "o"), "h").where(possible("e", "o"))
-    return ordered(met.select(F.col("e.node").alias("a"), F.col("o.node").alias("b")))
+    return once(met.select(F.col("e.node").alias("a"), F.col("o.node").alias("b")))
 
 
 def with_parts(df: DataFrame, labels: DataFrame) -> DataFrame:
@@ -222,9 +229,9 @@ def with_parts(df: DataFrame, labels: DataFrame) -> DataFrame:
 def labelled_components(rows: DataFrame, words: int = WORDS) -> DataFrame:
     """node, label of every different shingle set in ``rows`` (doc with text, doc_id, row_id, node, fp, keys).
 
-    First those within two bits of SimHash are compared, and each with ``ENDS`` others, those that are the smallest or the
-    largest node of most of its MinHash buckets, which is as much work as there are nodes and joins nearly all copies. Nodes of buckets that hold
-    several components still are then compared by the rare shingles that near copies must share (``prefixes``): with the
+    First each is compared with one other, the smallest or largest node of most of its MinHash buckets, then with further
+    ones (``ENDS`` in all) and with those within two bits of SimHash, where these are in other components. That is as much
+    work as there are nodes and joins nearly all copies. Nodes of buckets that hold several components still are then compared by the rare shingles that near copies must share (``prefixes``): with the
     most central node of each such shingle first, then all pairs that are in different components still. Pairs within a
     component can't change it, and a large bucket is never compared with itself, so no link is lost that the bands
     propose, however large a bucket.
@@ -236,10 +243,15 @@ def labelled_components(rows: DataFrame, words: int = WORDS) -> DataFrame:
     members = staged(keyed.join(several, "key").distinct(), "members")
     ends = members.select("node", F.explode(F.array("low", "high")).alias("end")).where("node <> end").groupBy("node", "end").agg(F.count(F.lit(1)).alias("bands"))
     order = Window.partitionBy("node").orderBy(F.desc("bands"), "end")
-    ends = ends.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ENDS).select(F.col("node").alias("a"), F.col("end").alias("b"))
-    pairs = ordered(ends.unionByName(fingerprint_pairs(nodes.select("node", "fp"))))
-    edges = verified(staged(pairs, "ends"), nodes, rows, words)
+    ends = ends.withColumn("place", F.row_number().over(order)).where(F.col("place") <= ENDS).select(F.col("node").alias("a"), F.col("end").alias("b"), "place")
+    ends = staged(ends, "ends")
+    edges = verified(staged(once(ends.where("place = 1").select("a", "b")), "pairs"), nodes, rows, words)
     labels = staged(connected_components(nodes.select("node", "label"), edges), "components")
+    rest = ends.where("place > 1").select("a", "b").unionByName(fingerprint_pairs(nodes.select("node", "fp")))
+    more = verified(staged(once(across(rest, labels)), "pairs"), nodes, rows, words)
+    if not more.isEmpty():
+        edges = edges.unionByName(more)
+        labels = staged(connected_components(nodes.select("node", "label"), edges), "components")
 
     parts = with_parts(members.select("key", "node"), labels)
     mixed = parts.groupBy("key").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("key")

@@ -17,7 +17,7 @@ WORDS, SHARED, OF = 5, 4, 5
 #: Minima in a band, bands. A pair at 0.8 agrees in a band with 0.8**5, so in none of 24 with 7e-5.
 ROWS, BANDS = 5, 24
 SEED = 42
-#: Row ids up to which those of the texts to compare are broadcast; beyond, the join is shuffled.
+#: Row ids up to which those of the texts to compare, or of the copies to drop, are broadcast; beyond, the join is shuffled.
 IDS = 4_000_000
 #: Others of one text that are compared with it in one place.
 CROWD = 1000
@@ -275,5 +275,8 @@ def without_near_copies(docs: DataFrame, words: int = WORDS) -> DataFrame:
     rows = docs.select(whole_row(docs.columns).alias("doc"), "doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
     rows = staged(with_sketches(rows, words), "sketched")
     with scratch(spark):
-        roots = staged(labelled_components(rows, words).select(F.col("label.row_id").alias("row_id")).distinct(), "roots", keep=True)
-    return rows.join(roots, "row_id", "left_semi").select("doc.*")
+        roots = labelled_components(rows, words).select("node", F.col("label.row_id").alias("root"))
+        copies = rows.select("row_id", "node").join(roots, "node").where("row_id <> root").select("row_id")
+        copies = staged(copies, "copies", keep=True)
+    copies = F.broadcast(copies) if copies.count() <= IDS else copies
+    return rows.join(copies, "row_id", "left_anti").select("doc.*")

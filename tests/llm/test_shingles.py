@@ -1,9 +1,12 @@
 """The pipeline's near-duplicate stage against all pairs in Python."""
 
+import os
 import random
 
 import corpus_pipeline
-from ledgerspark.llm.shingles import near, shingles
+from ledgerspark.llm import shingles as module
+from ledgerspark.llm.common import OPEN, staged, step
+from ledgerspark.llm.shingles import near, shingles, verified
 
 SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
@@ -69,3 +72,31 @@ def test_names_with_dots_and_clashes(spark):
     got = corpus_pipeline.near_dedup(spark, docs, SF)
     assert got.columns == docs.columns
     assert sorted(got.collect(), key=str) == sorted([r for r in docs.collect() if r.doc_id != 2], key=str)
+
+
+def test_pairs_of_a_crowd_dealt_over_several_places(spark, monkeypatch):
+    """Each pair is decided by its own two texts, however many places the others of one text take."""
+    monkeypatch.setattr(module, "CROWD", 4)
+    rng = random.Random(5)
+    bases = [[f"w{j}_{k}" for k in range(80)] for j in range(3)]
+    texts = bases + [edited(rng, bases[k % 3], rng.choice([0, 1, 2, 3, 6])) for k in range(60)] + [[]]
+    texts = [" ".join(t) for t in texts]
+    rows = spark.createDataFrame([(k, (t or None,)) for k, t in enumerate(texts)], "row_id long, doc struct<text:string>")
+    nodes = spark.createDataFrame([(100 + k, (k,)) for k in range(len(texts))], "node long, label struct<row_id:long>")
+    asked = [(100 + a, 100 + b) for b in range(3) for a in range(len(texts)) if a != b]
+    got = verified(spark.createDataFrame(asked, "a long, b long"), nodes, rows).collect()
+    sets = [shingles(t.encode()) for t in texts]
+    want = [(a, b) for a, b in asked if near(sets[a - 100], sets[b - 100])]
+    assert sorted((r.a, r.b) for r in got) == sorted(want) and 20 < len(want) < len(asked)
+
+
+def test_steps_remove_what_earlier_ones_staged(spark):
+    docs = spark.range(3)
+    with step(0, docs):
+        read, other = staged(docs, "read"), staged(docs, "other")
+    folders = [os.path.dirname(t.inputFiles()[0].removeprefix("file:").replace("///", "/")) for t in (read, other)]
+    with step(1, read):
+        assert [os.path.exists(f) for f in folders] == [True, False]
+    with step(2, docs):
+        assert not os.path.exists(folders[0])
+    assert not OPEN

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -151,12 +151,12 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = EN
     return rows.mapInArrow(cut, "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, part int, number long")
 
 
-def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END, columns: list[str] | None = None) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END, columns: list[str] | None = None, planner: Callable = plan) -> DataFrame:
     """One row per piece of ``docs`` (doc_id, text): ``columns`` (by default doc_id, start, length, ids, ids_crc32,
     doc_tokens; length has to be there), sequence_id, offset. Sequences hold at most ``window`` ids; sequence ids and offsets have no gaps.
 
     A null text counts as empty: it has ``end`` alone. Repeated rows are packed as often as they occur. No rows give no
-    rows. Other columns are ignored. The driver sees the histogram of lengths (``window`` rows at most) and the plan that
+    rows. Other columns are ignored. ``planner`` makes the patterns of lengths that fill sequences. The driver sees the histogram of lengths (``window`` rows at most) and the plan that
     follows from it, whose size depends on the window alone. Pieces are numbered within their part and length; what
     comes before that is summed up over parts, so no task holds a length. Each part has one row of such sums, as many as
     the window is long; these are broadcast up to ``BROADCAST`` bytes.
@@ -167,7 +167,7 @@ def pack(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END,
     for row in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect():
         counts[row["length"]] = row["n"]
     full, counts[window] = int(counts[window]), 0
-    places = Places([(full, [(window, 1)])] * bool(full) + plan(counts, window), 0)
+    places = Places([(full, [(window, 1)])] * bool(full) + planner(counts, window), 0)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     by_length = F.map_from_entries(F.collect_list(F.struct("length", "base")))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .best_fit import op13_best_fit
 from .bpe import op4_bpe
 from .packing import op9_packing
 from .quality_model import op8_quality_model
@@ -19,7 +20,7 @@ from .toxicity import op7_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_secrets, op2_token_files, op3_quality_rules, op4_bpe, op5_sharding, op6_top_k, op7_toxicity, op8_quality_model, op9_packing, op10_simhash]
+    found = [op1_secrets, op2_token_files, op3_quality_rules, op4_bpe, op5_sharding, op6_top_k, op7_toxicity, op8_quality_model, op9_packing, op10_simhash, op13_best_fit]
     return {f.__name__: f for f in found}
 
 

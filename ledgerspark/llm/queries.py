@@ -17,14 +17,15 @@ from .simhash import op10_simhash
 from .tokenfiles import op2_token_files
 from .topk import op6_top_k
 from .toxicity import op7_toxicity
+from .trie import op12_prefix_trie
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_secrets, op2_token_files, op3_quality_rules, op4_bpe, op5_sharding, op6_top_k, op7_toxicity, op8_quality_model, op9_packing, op10_simhash, op13_best_fit]
+    found = [op1_secrets, op2_token_files, op3_quality_rules, op4_bpe, op5_sharding, op6_top_k, op7_toxicity, op8_quality_model, op9_packing, op10_simhash, op12_prefix_trie, op13_best_fit]
     return {f.__name__: f for f in found}
 
 
-#: op6 is the one that SQL states in full.
+#: op6 in full.
 TOP_K = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
@@ -40,6 +41,36 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+#: op12 in full. DuckDB has no crc32, so it is computed bit by bit from the id's digits.
+PREFIX_TRIE = """
+WITH own AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM own)
+), rebuilt AS (
+  SELECT conv_id, list([role, text] ORDER BY pos) AS seq FROM (
+    SELECT i.conv_id, o.pos, o.role, o.text FROM ids i JOIN own o ON o.conv_id = i.base AND o.pos <= i.h
+    UNION ALL SELECT i.conv_id, o.pos, o.role, o.text FROM ids i JOIN own o USING (conv_id) WHERE o.pos > i.h) GROUP BY 1
+), convs AS (
+  SELECT conv_id, coalesce(seq, []) AS seq FROM ids LEFT JOIN rebuilt USING (conv_id)
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = size), '') AS ends
+  FROM (SELECT conv_id, len(seq) AS size, unnest(range(len(seq) + 1)) AS depth, seq FROM convs), LATERAL (SELECT seq[:depth] AS prefix) GROUP BY 1, 2
+), kin AS (
+  SELECT c.*, p.conv_id AS parent_conv_id, p.depth AS parent_depth FROM nodes c LEFT JOIN nodes p ON c.depth > 0 AND p.depth = c.depth - 1 AND p.prefix = c.prefix[:c.depth - 1]
+), counted AS (
+  SELECT k.*, coalesce(n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * len(regexp_extract_all(prefix[depth][2], '[^\x20\x09-\x0D]+')) END AS saved
+  FROM kin k LEFT JOIN (SELECT parent_conv_id AS conv_id, parent_depth AS depth, count(*) AS n FROM kin WHERE depth > 0 GROUP BY 1, 2) USING (conv_id, depth)
+), under AS (
+  SELECT prefix[:up] AS prefix, up AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM (SELECT *, unnest(range(depth + 1)) AS up FROM counted) GROUP BY 1, 2
+)
+SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(c.ends) AS ends_sha256
+FROM counted c JOIN under u USING (prefix, depth)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_top_k": TOP_K}
+    return {"op6_top_k": TOP_K, "op12_prefix_trie": PREFIX_TRIE}

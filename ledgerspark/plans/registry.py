@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.staging import shared_folder  # noqa: F401
+
 FOUND: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
@@ -18,13 +18,3 @@ def query(name: str, sql: str | None):
 
     return add
 
-
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``). Where that isn't set, a
-    folder of this machine serves a local session; on a cluster that is an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .best_fit import op13_best_fit
 from .bpe import op4_bpe
+from .collocations import op11_collocations
 from .packing import op9_packing
 from .quality_model import op8_quality_model
 from .quality_rules import op3_quality_rules
@@ -21,7 +22,7 @@ from .trie import op12_prefix_trie
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_secrets, op2_token_files, op3_quality_rules, op4_bpe, op5_sharding, op6_top_k, op7_toxicity, op8_quality_model, op9_packing, op10_simhash, op12_prefix_trie, op13_best_fit]
+    found = [op1_secrets, op2_token_files, op3_quality_rules, op4_bpe, op5_sharding, op6_top_k, op7_toxicity, op8_quality_model, op9_packing, op10_simhash, op11_collocations, op12_prefix_trie, op13_best_fit]
     return {f.__name__: f for f in found}
 
 
@@ -71,6 +72,36 @@ SELECT c.conv_id, c.depth, c.parent_conv_id, c.n_convs, c.n_children, CAST(u.n_l
 FROM counted c JOIN under u USING (prefix, depth)
 """
 
+#: op11 in full, with 128-bit arithmetic.
+COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3]) AS k))
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY 1
+), cand AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT lang, k, phrase, a, c, array_to_string(w[:c], ' ') AS head, array_to_string(w[c + 1:], ' ') AS tail FROM (SELECT *, unnest(range(1, k)) AS c FROM cand)
+), best AS (
+  SELECT lang, k, phrase, a, arg_min(struct_pack(l := l, r := r, score := score), score * 10 + c) AS b FROM (
+    SELECT cuts.*, x.f AS l, y.f AS r, 1000000 * CAST(a AS HUGEINT) * a // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = head JOIN f y ON y.lang = cuts.lang AND y.phrase = tail) GROUP BY ALL
+), longer AS (
+  SELECT lang, part, max(a) AS most FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM cand WHERE k = 3) GROUP BY ALL
+)
+SELECT lang, rank, phrase, a, b.l AS l, b.r AS r, n, CAST(b.score AS BIGINT) AS score
+FROM (SELECT best.*, row_number() OVER (PARTITION BY best.lang ORDER BY b.score DESC, a DESC, phrase) AS rank
+      FROM best LEFT JOIN longer ON longer.lang = best.lang AND part = phrase WHERE most IS NULL OR 100 * most < 50 * a) JOIN n USING (lang)
+WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_top_k": TOP_K, "op12_prefix_trie": PREFIX_TRIE}
+    return {"op6_top_k": TOP_K, "op11_collocations": COLLOCATIONS, "op12_prefix_trie": PREFIX_TRIE}

@@ -23,7 +23,8 @@ LEAST, TOP = 10, 2000
 #: A phrase goes if a longer one has this share of its occurrences, in percent.
 INSIDE = 50
 #: Bytes of texts or chunks that a task takes up at once; bytes of chunks for each bucket of n-grams; buckets at least.
-SLICE, BUCKET, BUCKETS = 8 << 20, 4 << 20, 1024
+SLICE, BUCKET, BUCKETS = 3 << 20, 4 << 20, 1024
+BLOCK = 1 << 20
 
 #: What bytes are: 0 in a word, 1 between words, 2 between pieces.
 KIND = np.zeros(256, np.uint8)
@@ -83,12 +84,18 @@ class Words:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((self.text.astype(np.uint64) + np.uint64(1)) * up[: len(self.text)])])
         return mixed((sums[self.at + self.size] - sums[self.at]) * down[self.at] + self.size.astype(np.uint64))
 
-    def spans(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes of the words first..last of each span, joined by spaces, and the offsets of the spans."""
+    def spans(self, first: np.ndarray, last: np.ndarray, after: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of the words first..last of each span, joined by spaces, with ``after`` bytes that follow, and the offsets
+        of the spans. Copied by blocks, as the places of bytes take eight times as much as the bytes."""
         start = self.at[first]
-        size = self.at[last] + self.size[last] - start
+        size = self.at[last] + self.size[last] - start + after
         offsets = np.concatenate([[0], np.cumsum(size)])
-        return self.text[np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], size)], offsets
+        out = np.empty(offsets[-1], np.uint8)
+        bounds = np.unique([*np.searchsorted(offsets, np.arange(0, offsets[-1], BLOCK)), len(first)])
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            places = np.arange(offsets[a], offsets[b]) + np.repeat(start[a:b] - offsets[a:b], size[a:b])
+            out[offsets[a] : offsets[b]] = self.text[places]
+        return out, offsets
 
 
 def strings(data: np.ndarray, offsets: np.ndarray):
@@ -204,11 +211,10 @@ def counted(buckets: int):
             code = np.array([codes[x] for x in langs])[source[first[chosen]]]
             order = np.lexsort((code, bucket))
             chosen, sums, bucket, code = chosen[order], sums[order], bucket[order], code[order]
-            data, offsets = w.spans(first[chosen], first[chosen] + size[chosen])
+            lines, offsets = w.spans(first[chosen], first[chosen] + size[chosen], after=1)
+            ends = offsets[1:]
+            lines[ends - 1] = 10
             new = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (code[1:] != code[:-1])])) if len(bucket) else np.zeros(0, int)
-            lines = np.full(len(data) + len(chosen), 10, np.uint8)
-            lines[np.arange(len(data)) + np.repeat(np.arange(len(chosen)), np.diff(offsets))] = data
-            ends = offsets[1:] + np.arange(1, len(chosen) + 1)
             names, out, held = sorted(codes), [], 0
             for a, b in zip(new.tolist(), [*new[1:].tolist(), len(bucket)], strict=True) if len(new) else []:
                 raw = lines[0 if a == 0 else ends[a - 1] : ends[b - 1]].tobytes()

@@ -23,7 +23,7 @@ LEAST, TOP = 10, 2000
 #: A phrase goes if a longer one has this share of its occurrences, in percent.
 INSIDE = 50
 #: Bytes of texts or chunks that a task takes up at once; bytes of chunks for each bucket of n-grams; buckets at least.
-SLICE, BUCKET, BUCKETS = 3 << 20, 4 << 20, 1024
+SLICE, BUCKET, BUCKETS = 3 << 19, 1 << 20, 1024
 BLOCK = 1 << 20
 
 #: What bytes are: 0 in a word, 1 between words, 2 between pieces.
@@ -220,7 +220,7 @@ def counted(buckets: int):
                 raw = lines[0 if a == 0 else ends[a - 1] : ends[b - 1]].tobytes()
                 out.append((int(bucket[a]), names[code[a]], len(raw), pa.compress(raw, "zstd", asbytes=True), sums[a:b].tobytes()))
                 held += len(out[-1][3]) + len(out[-1][4])
-                if held > SLICE:
+                if held > 4 * SLICE:
                     yield blobs(out)
                     out, held = [], 0
             if out:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fiscal, slips, values
 from . import relational as rel
 from . import windows as win
 from .cascade import projected_and_allocated
+from .history import vocabulary_history
+from .ranking import numbered
+from .staging import staged
 
 # Cells of the name and of (revenue, capital, total) for each estimate, in sheets below 40 cells and others.
 NARROW = {"name": 5, "actual": (12, 14, 16), "be_prev": (18, 20, 22), "re": (25, 27, 29), "be": (31, 33, 35)}
@@ -268,19 +271,18 @@ def change_timeline(versions: DataFrame) -> DataFrame:
 
 
 def vocabulary_triples(heads: DataFrame, events: DataFrame, notes: DataFrame, order: list[str]) -> DataFrame:
-    """s, p, o: labels, broader heads, earlier labels, deprecation and notes of every concept. A note counts if its code
-    is known and its text isn't empty."""
-    told = win.vocabulary(events, order)
-    names = heads.select("code", "label").join(told.select("code", "pref_label", "deprecated"), "code", "full")
-    renamed = events.where("action = 'RENAME'").select("code").distinct()
-    names = names.join(renamed.withColumn("renamed", F.lit(True)), "code", "left")
-    pref = F.when(F.col("renamed") | F.col("label").isNull(), F.col("pref_label")).otherwise(F.col("label"))
+    """s, p, o of every concept: what ``vocabulary_history`` tells, identifier, kind, its place (broader and narrower heads,
+    or a top concept) and its notes. Codes that only changes name are concepts, too. A note counts if its code is known
+    and its text isn't empty. Each statement is made once."""
+    told = staged(vocabulary_history(events, order, heads), "vocabulary")
+    codes = told.where("p = 'prefLabel'").select("code").join(heads.select("code", "kind", "parent_code"), "code", "left")
     triple = lambda p, o: F.struct(F.lit(p).alias("p"), o.alias("o"))
-    own = F.array(triple("prefLabel", pref), F.when(F.col("renamed") & (F.col("label") != pref), triple("altLabel", F.col("label"))), F.when(F.col("deprecated") == 1, triple("deprecated", F.lit("true"))))
-    made = names.select(F.col("code").alias("s"), F.explode(F.filter(own, lambda t: t.isNotNull())).alias("t")).select("s", "t.p", "t.o")
-    up = heads.where("parent_code is not null").select(F.col("code").alias("s"), F.lit("broader").alias("p"), F.col("parent_code").alias("o"))
-    kept = notes.where("trim(note) <> ''").join(names.select("code"), "code", "left_semi").select(F.col("code").alias("s"), F.lit("scopeNote").alias("p"), F.col("note").alias("o"))
-    return made.unionByName(up).unionByName(kept).distinct()
+    top, up = F.col("parent_code").isNull(), F.col("parent_code")
+    own = F.array(triple("identifier", F.col("code")), triple("type", F.col("kind")), triple("topConceptOf", F.when(top, "scheme")), triple("broader", up))
+    placed = codes.select(F.col("code").alias("s"), F.explode(own).alias("t")).where("t.o is not null").select("s", "t.p", "t.o")
+    narrower = heads.where(~top).select(up.alias("s"), F.lit("narrower").alias("p"), F.col("code").alias("o"))
+    kept = notes.where("trim(note) <> ''").join(codes.select("code"), "code", "left_semi").select(F.col("code").alias("s"), F.lit("scopeNote").alias("p"), F.col("note").alias("o")).distinct()
+    return told.select(F.col("code").alias("s"), "p", "o").unionByName(placed).unionByName(narrower).unionByName(kept)
 
 
 def browser_nodes(heads: DataFrame, notes: DataFrame, events: DataFrame) -> DataFrame:
@@ -291,12 +293,26 @@ def browser_nodes(heads: DataFrame, notes: DataFrame, events: DataFrame) -> Data
     return rows.fillna(0, ["n_children", "n_notes", "n_events"])
 
 
+def flattened(code) -> Column:
+    """The key of a minor head in the ledger of changes: major and minor without what is between; null for other heads."""
+    return F.when(F.size(F.split(code, "-")) == 3, F.concat_ws("-", F.split_part(code, F.lit("-"), F.lit(1)), F.split_part(code, F.lit("-"), F.lit(3))))
+
+
 def head_history(heads: DataFrame, events: DataFrame) -> DataFrame:
-    """code, event_code, action, exact: changes under each head's major; exact where the change names the head itself."""
-    major = fiscal.bare_major(F.col("code"))
-    own = heads.select("code", major.alias("major"))
+    """code, event_code, event_id, action, exact: changes under each head's major; exact where the change names this minor
+    head by its flattened key. For a few heads; for a whole chart see ``history_counts``."""
+    own = heads.select("code", fiscal.bare_major(F.col("code")).alias("major"), flattened(F.col("code")).alias("flat"))
     other = events.select(F.col("code").alias("event_code"), fiscal.bare_major(F.col("code")).alias("major"), "action", "event_id")
-    return own.join(other, "major").select("code", "event_code", "event_id", "action", (F.col("code") == F.col("event_code")).alias("exact"))
+    return own.join(other, "major").select("code", "event_code", "event_id", "action", F.coalesce(F.col("flat") == F.col("event_code"), F.lit(False)).alias("exact"))
+
+
+def history_counts(heads: DataFrame, events: DataFrame) -> DataFrame:
+    """code, n_changes, n_exact of every head: changes are counted by major and by key before they meet the heads, so
+    each head is one row, however many changes its major has."""
+    count = lambda key, name: events.groupBy(key.alias(name)).agg(F.count(F.lit(1)).alias(f"n_{name}"))
+    own = heads.select("code", fiscal.bare_major(F.col("code")).alias("major"), flattened(F.col("code")).alias("flat"))
+    rows = own.join(count(fiscal.bare_major(F.col("code")), "major"), "major", "left").join(count(F.col("code"), "flat"), "flat", "left")
+    return rows.select("code", F.coalesce("n_major", F.lit(0)).alias("n_changes"), F.coalesce("n_flat", F.lit(0)).alias("n_exact"))
 
 
 def lookup_by_class(heads: DataFrame, query: str) -> DataFrame:
@@ -310,8 +326,8 @@ def stress_leaderboard(rows: DataFrame, ratio: str) -> DataFrame:
     """state, ratio, rank, high_stress of statement rows whose name_cell reads ``12. Name``; dashes and junk are zero."""
     name = F.col("name_cell")
     own = rows.where(name.rlike("[0-9]") & name.contains(".")).select(F.trim(F.regexp_extract(name, "(?s)^[^.]*\\.(.*)$", 1)).alias("state"), values.clean_value(F.col(ratio).cast("string")).alias("ratio"))
-    # a statement has a row for each state, some dozens
-    return own.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("ratio"), "state"))).withColumn("high_stress", F.col("ratio") > HIGH_STRESS)
+    rows = numbered(own, [], [F.desc_nulls_last("ratio"), F.col("state")])
+    return rows.select("state", "ratio", F.col("rank").cast("int").alias("rank"), (F.col("ratio") > HIGH_STRESS).alias("high_stress"))
 
 
 def first_row_with(grid: DataFrame, text: str) -> DataFrame:

@@ -96,6 +96,25 @@ def siblings(heads: DataFrame) -> DataFrame:
     return own.join(other, "key").where("cls <> sibling_cls").select("code", "sibling")
 
 
+def label_classes(heads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Siblings as classes, linear in the heads: (label_key, n_members, n_links) of every label, in lower case, that heads of
+    several account classes bear, and (label_key, code, account_class) of its members. Links are the ordered pairs that
+    ``siblings`` gives: all pairs of members less those of one account class."""
+    own = heads.select(F.lower("label").alias("label_key"), "code", fiscal.account_class(F.col("code")).alias("account_class"))
+    sizes = own.groupBy("label_key", "account_class").agg(F.count(F.lit(1)).alias("n"))
+    links = (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))).alias("n_links")
+    classes = sizes.groupBy("label_key").agg(F.sum("n").alias("n_members"), links).where("n_links > 0")
+    return classes, own.join(classes.select("label_key"), "label_key", "left_semi")
+
+
+def siblings_of(heads: DataFrame, asked: DataFrame) -> DataFrame:
+    """code, sibling for the heads of ``asked`` (code) only."""
+    own = heads.select("code", F.lower("label").alias("key"), fiscal.account_class(F.col("code")).alias("cls"))
+    mine = own.join(asked.select("code").distinct(), "code", "left_semi")
+    other = own.select(F.col("code").alias("sibling"), "key", F.col("cls").alias("sibling_cls"))
+    return mine.join(other, "key").where("cls <> sibling_cls").select("code", "sibling")
+
+
 def children(heads: DataFrame) -> DataFrame:
     """How many heads hang on each head."""
     own = heads.where("parent_code is not null").groupBy(F.col("parent_code").alias("code")).agg(F.count(F.lit(1)).alias("n_children"))

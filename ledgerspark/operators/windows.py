@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import carried, ordered
+
 
 def fill_forward(df: DataFrame, keys: list[str], order: str, column: str, out: str) -> DataFrame:
     """The last value that isn't null up to and with each row."""
@@ -20,8 +22,12 @@ def fill_heads(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def continued(df: DataFrame, keys: list[str], order: str, starts, text: str) -> DataFrame:
-    """Rows from one start to the next, their text joined by a space; rows before the first start go."""
-    runs = df.withColumn("run", F.sum(starts.cast("int")).over(Window.partitionBy(*keys).orderBy(order))).where("run > 0")
+    """Rows from one start to the next, their text joined by a space; rows before the first start go.
+
+    Runs are numbered over parts, so a key with many of them is split; a run's text is one value, whatever its length.
+    """
+    rows = df.select(*dict.fromkeys([*keys, order, text]), starts.cast("int").alias("__start"))
+    runs = carried(ordered(rows, keys, [F.col(order)]), keys, total={"run": F.col("__start")}).where("run > 0")
     parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t"))))
     return runs.groupBy(*keys, "run").agg(F.array_join(F.transform(parts, lambda p: p["t"]), " ").alias(text))
 
@@ -88,12 +94,6 @@ def vocabulary(events: DataFrame, order: list[str]) -> DataFrame:
     )
 
 
-def flow_nodes(subsectors: DataFrame, keys: list[str], sector_rank) -> DataFrame:
-    """Node numbers by first appearance: sectors in their fixed order, values falling; the pool is 0."""
-    order = Window.partitionBy(*keys).orderBy(sector_rank, F.desc("amount"), "sub_sector")
-    return subsectors.withColumn("node", F.row_number().over(order))
-
-
 def binned_words(df: DataFrame, keys: list[str], x: str, word: str, bins: list[tuple[float, str]], rest: str) -> DataFrame:
     """``keys``, bin, words: words of a line by column, in order of their position; each bin ends below its bound."""
     name = None

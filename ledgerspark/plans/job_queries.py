@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fiscal, slips, values
 from ..operators import jobs
+from ..operators.staging import staged
 from ..operators.cascade import projected_and_allocated
 from .bindings import EVENTS, HEADS, LINES, STATEMENTS, VERSIONS, budget_lines, heads, rules_sql, slip_events, statements, table, versions
 from .registry import query
@@ -240,12 +241,16 @@ def notes_of_parts(spark, sf_dir):
 PART_NOTES = "pn AS (SELECT CAST(2000 + p_partkey % 1700 AS VARCHAR) AS code, CASE WHEN p_partkey % 3 = 0 THEN ' ' ELSE p_name END AS note FROM part)"
 
 
-@query("job_13", f"""WITH {HEADS}, {EVENTS}, {PART_NOTES}, told AS (SELECT code, coalesce(arg_max(label, (ts, event_id)) FILTER (action = 'RENAME'), arg_min(label, (ts, event_id))) AS pref, bool_or(action = 'DELETE') AS gone, bool_or(action = 'RENAME') AS renamed FROM slips GROUP BY 1),
-names AS (SELECT coalesce(h.code, t.code) AS code, h.label, CASE WHEN t.renamed OR h.label IS NULL THEN t.pref ELSE h.label END AS pref, gone, renamed FROM heads h FULL JOIN told t ON h.code = t.code)
-SELECT code AS s, 'prefLabel' AS p, pref AS o FROM names UNION SELECT code, 'altLabel', label FROM names WHERE renamed AND label <> pref UNION SELECT code, 'deprecated', 'true' FROM names WHERE gone
-UNION SELECT code, 'broader', parent_code FROM heads WHERE parent_code IS NOT NULL UNION SELECT code, 'scopeNote', note FROM pn WHERE trim(note) <> '' AND code IN (SELECT code FROM names)""")
+@query("job_13", f"""WITH {HEADS}, {EVENTS}, {PART_NOTES}, rows_ AS (SELECT code, action, label, ts, event_id FROM slips UNION ALL SELECT code, 'HEAD', label, NULL, NULL FROM heads),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY ts NULLS FIRST, event_id NULLS FIRST) AS k, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM rows_),
+named AS (SELECT *, last_value(CASE WHEN k = 1 OR action = 'RENAME' THEN label END IGNORE NULLS) OVER (PARTITION BY code ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS old FROM numbered)
+SELECT code AS s, 'prefLabel' AS p, arg_max(label, k) AS o FROM named WHERE k = 1 OR action = 'RENAME' GROUP BY code UNION SELECT code, 'altLabel', old FROM named WHERE action = 'RENAME' AND old IS NOT NULL
+UNION SELECT code, 'created', day FROM named WHERE action = 'INSERT' UNION SELECT code, 'modified', day FROM named WHERE action IN ('RENAME', 'UPDATE', 'DELETE') UNION SELECT code, 'deprecated', 'true' FROM named WHERE action = 'DELETE'
+UNION SELECT code, 'historyNote', 'Renamed from \'\'' || coalesce(old, 'None') || '\'\' to \'\'' || label || '\'\' on ' || day FROM named WHERE action = 'RENAME' UNION SELECT code, 'historyNote', 'Updated on ' || day FROM named WHERE action = 'UPDATE'
+UNION SELECT DISTINCT code, 'identifier', code FROM named UNION SELECT code, 'type', kind FROM heads UNION SELECT code, 'topConceptOf', 'scheme' FROM heads WHERE parent_code IS NULL UNION SELECT code, 'topConceptOf', 'scheme' FROM slips WHERE code NOT IN (SELECT code FROM heads)
+UNION SELECT code, 'broader', parent_code FROM heads WHERE parent_code IS NOT NULL UNION SELECT parent_code, 'narrower', code FROM heads WHERE parent_code IS NOT NULL UNION SELECT code, 'scopeNote', note FROM pn WHERE trim(note) <> '' AND code IN (SELECT code FROM named)""")
 def job_13(spark, sf_dir):
-    return jobs.vocabulary_triples(heads(spark, sf_dir), slip_events(spark, sf_dir), notes_of_parts(spark, sf_dir), ["ts", "event_id"])
+    return jobs.vocabulary_triples(staged(heads(spark, sf_dir), "heads"), slip_events(spark, sf_dir), notes_of_parts(spark, sf_dir), ["ts", "event_id"])
 
 
 CLASS_SQL = "CASE WHEN {0} < '2' THEN 0 WHEN {0} < '4' THEN 2 WHEN {0} < '6' THEN 4 WHEN {0} < '8' THEN 6 ELSE 8 END"
@@ -253,7 +258,7 @@ CLASS_SQL = "CASE WHEN {0} < '2' THEN 0 WHEN {0} < '4' THEN 2 WHEN {0} < '6' THE
 
 @query("job_14", f"WITH {HEADS}, {EVENTS}, {PART_NOTES} SELECT code, label, kind, {CLASS_SQL.format('code')} AS cls, (SELECT count(*) FROM heads c WHERE c.parent_code = h.code) AS n_children, (SELECT count(*) FROM pn WHERE pn.code = h.code) AS n_notes, (SELECT count(*) FROM slips s WHERE s.code = h.code) AS n_events FROM heads h")
 def job_14(spark, sf_dir):
-    return jobs.browser_nodes(heads(spark, sf_dir), notes_of_parts(spark, sf_dir), slip_events(spark, sf_dir))
+    return jobs.browser_nodes(staged(heads(spark, sf_dir), "heads"), notes_of_parts(spark, sf_dir), slip_events(spark, sf_dir))
 
 
 @query("job_15", f"WITH {HEADS}, g AS (SELECT {CLASS_SQL.format('code')} AS cls, count(*) AS n_hits FROM heads WHERE contains(label, 'ring') AND contains(code || ' ' || label, '2') GROUP BY 1) SELECT cls, n_hits, (SELECT count(*) FROM g) AS n_classes FROM g")
@@ -261,11 +266,6 @@ def job_15(spark, sf_dir):
     return jobs.lookup_by_class(heads(spark, sf_dir), "Ring, 2")
 
 
-@query("joi_13", f"WITH {HEADS}, {EVENTS} SELECT h.code, s.code AS event_code, s.event_id, s.action, h.code = s.code AS exact FROM heads h JOIN slips s ON substr(h.code, 1, 4) = s.code WHERE h.kind <> 'minor'")
-def joi_13(spark, sf_dir):
-    return jobs.head_history(heads(spark, sf_dir).where("kind <> 'minor'"), slip_events(spark, sf_dir))
-
-
 @query("job_17", f"WITH {STATEMENTS} SELECT state, pct AS ratio, CAST(row_number() OVER (ORDER BY pct DESC, state) AS INT) AS rank, pct > 15 AS high_stress FROM statements")
 def job_17(spark, sf_dir):
     return jobs.stress_leaderboard(statements(spark, sf_dir), "pct")

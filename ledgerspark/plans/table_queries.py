@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fiscal, values
 from ..operators import relational as rel
 from ..operators import windows as win
+from ..operators.staging import staged
 from ..sources import readers
 from .bindings import (
     AMOUNT_LINES, EVENTS, HEADS, LINES, PROBES, STATEMENTS, TEXT_LINES, VERSIONS, amount_lines, budget_lines, heads, probes, rules_sql, slip_events, statements, table, text_lines, versions,
@@ -97,7 +98,7 @@ def joi_11(spark, sf_dir):
 
 @query("joi_12", f"WITH {HEADS} SELECT h.code, concat_ws(' > ', g.code, h.parent_code, h.code) AS path FROM heads h LEFT JOIN heads p ON p.code = h.parent_code LEFT JOIN heads g ON g.code = p.parent_code")
 def joi_12(spark, sf_dir):
-    return rel.ancestors(heads(spark, sf_dir))
+    return rel.ancestors(staged(heads(spark, sf_dir), "heads"))
 
 
 @query("joi_15", f"WITH {LINES} SELECT DISTINCT major, {SECTOR} AS sector, {SUB_SECTOR} AS sub_sector FROM lines")
@@ -283,12 +284,6 @@ def win_15(spark, sf_dir):
     return agg_20(spark, sf_dir).select("fy", F.round((F.col("re") - F.col("be")) / F.col("be") * 100, 4).alias("re_vs_be"))
 
 
-@query("win_17", f"WITH {LINES}, s AS (SELECT state, fy, {SECTOR} AS sector, {SUB_SECTOR} AS sub_sector, sum(amount) AS amount FROM lines GROUP BY ALL) SELECT state, fy, sector, sub_sector, CAST(row_number() OVER (PARTITION BY state, fy ORDER BY list_position(['social', 'economic', 'general', 'grants', 'debt'], sector), amount DESC, sub_sector) AS INT) AS node FROM s")
-def win_17(spark, sf_dir):
-    rows = rel.sector_rollup(budget_lines(spark, sf_dir), ["state", "fy"]).where("level = 0")
-    return win.flow_nodes(rows, ["state", "fy"], fiscal.sector_order(F.col("sector"))).select("state", "fy", "sector", "sub_sector", "node")
-
-
 @query("srt_03", "SELECT user_id, list_sort(list(CAST(value AS DECIMAL(18,4))), 'DESC')[1] AS first, list_sort(list(CAST(value AS DECIMAL(18,4))), 'DESC')[2] AS second FROM events GROUP BY 1")
 def srt_03(spark, sf_dir):
     # two partial maxima instead of a whole list
@@ -305,7 +300,7 @@ def set_01(spark, sf_dir):
 
 @query("set_03", f"WITH {HEADS} SELECT code AS s, 'broader' AS p, parent_code AS o FROM heads WHERE parent_code IS NOT NULL UNION SELECT code, 'prefLabel', label FROM heads")
 def set_03(spark, sf_dir):
-    h = heads(spark, sf_dir)
+    h = staged(heads(spark, sf_dir), "heads")
     up = h.where("parent_code is not null").select(F.col("code").alias("s"), F.lit("broader").alias("p"), F.col("parent_code").alias("o"))
     return up.unionByName(h.select(F.col("code").alias("s"), F.lit("prefLabel").alias("p"), F.col("label").alias("o"))).distinct()
 

@@ -94,3 +94,20 @@ def json_payload(df: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 def triple_lines(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat_ws(" ", "s", "p", "o", F.lit(".")).alias("value")).distinct()
+
+
+#: Characters that a literal of an N-Triples line must not hold as they are.
+ESCAPES = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]
+
+
+def n_triples(triples: DataFrame, base: str, terms: dict[str, str], links: list[str]) -> DataFrame:
+    """N-Triples lines of ``triples`` (s, p, o): subjects under ``base``, predicates by ``terms``, objects of the predicates in
+    ``links`` as addresses under ``base``, the others as literals. Predicates without a term are an error."""
+    iri = lambda c: F.concat(F.lit("<" + base), F.regexp_replace(c, "[^A-Za-z0-9._~-]", "_"), F.lit(">"))
+    text = F.col("o")
+    for sign, escaped in ESCAPES:
+        text = F.replace(text, F.lit(sign), F.lit(escaped))
+    known = F.create_map(*[F.lit(x) for pair in terms.items() for x in pair])
+    term = F.coalesce(F.try_element_at(known, F.col("p")), F.raise_error(F.concat(F.lit("no term for "), F.col("p"))))
+    value = F.when(F.col("p").isin(*links), iri(F.col("o"))).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
+    return triples.select(F.concat_ws(" ", iri(F.col("s")), F.concat(F.lit("<"), term, F.lit(">")), value, F.lit(".")).alias("value")).distinct()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerspark.llm.common import documents, staged, step
+from ledgerspark.llm.common import Steps, documents, staged
 from ledgerspark.llm.labels import labelled
 from ledgerspark.llm.packing import WORD_BPE, pack
 from ledgerspark.llm.quality_model import kept_by_model
@@ -17,13 +18,21 @@ from ledgerspark.llm.secrets import redacted
 from ledgerspark.llm.shingles import without_near_copies
 
 
+#: Runs that call the stages one by one, by thread and folder of the tables.
+RUNS: dict[tuple[int, str], Steps] = {}
+
+
 def stage(number: int) -> Callable:
-    """Marks a stage: when it starts, what stages before it had to write is removed, unless ``docs`` still reads it."""
+    """Marks a stage: when it starts, what earlier stages of its run had to write is removed, unless ``docs`` still reads
+    it. A run is ``steps``; without it, stages that one thread calls for one ``sf_dir`` from the first on are a run."""
 
     def mark(function: Callable) -> Callable:
         @wraps(function)
-        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            with step(number, docs):
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, steps: Steps | None = None) -> DataFrame:
+            if steps is None:
+                key = threading.get_ident(), sf_dir
+                steps = RUNS[key] = RUNS.get(key, Steps()) if number else Steps()
+            with steps.step(number, docs):
                 return function(spark, docs, sf_dir)
 
         return run_stage
@@ -77,9 +86,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after another, over ``documents``; what a stage returns is written and read again. What a stage
     had to write goes when a later one starts that doesn't read it."""
-    docs = documents(spark, sf_dir)
+    docs, steps = documents(spark, sf_dir), Steps()
     for number, (name, function) in enumerate(STAGES[:-1]):
-        rows = function(spark, docs, sf_dir)
-        with step(number, docs):
+        rows = function(spark, docs, sf_dir, steps)
+        with steps.step(number, docs):
             docs = staged(rows, name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    return STAGES[-1][1](spark, docs, sf_dir, steps)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
@@ -29,12 +30,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-#: Staged folders of each open ``scratch`` block, innermost last.
-OPEN: list[list[str]] = []
+class Blocks(threading.local):
+    """Staged folders of each open ``scratch`` block or step of this thread, innermost last."""
 
+    def __init__(self):
+        self.open: list[list[str]] = []
 
-#: Folders that steps of a pipeline have left, with the number of the step.
-LEFT: list[tuple[int, str]] = []
+
+OPEN = Blocks()
 
 
 def removed(spark: SparkSession, folder: str) -> None:
@@ -46,29 +49,34 @@ def removed(spark: SparkSession, folder: str) -> None:
 def scratch(spark: SparkSession) -> Iterator[None]:
     """What is staged in this block is removed at its end, but for tables staged with ``keep``: those belong to the
     block around it. No other table may leave the block unless it has been read by then."""
-    OPEN.append([])
+    OPEN.open.append([])
     try:
         yield
     finally:
-        for folder in OPEN.pop():
+        for folder in OPEN.open.pop():
             removed(spark, folder)
 
 
-@contextmanager
-def step(number: int, docs: DataFrame) -> Iterator[None]:
-    """One of several steps, each of which works on the table that the step before returned, once that has been written.
-    So what steps of lower numbers staged goes at the start, but for what ``docs`` reads itself. What is staged in this
-    block stays for the table that it returns, until a later step starts."""
-    reads = docs.inputFiles() if any(k < number for k, _ in LEFT) else []
-    done = [x for x in LEFT if x[0] < number and not any(x[1] in file for file in reads)]
-    for left in done:
-        removed(docs.sparkSession, left[1])
-        LEFT.remove(left)
-    OPEN.append([])
-    try:
-        yield
-    finally:
-        LEFT.extend((number, folder) for folder in OPEN.pop())
+class Steps:
+    """What the steps of one run have staged. Each step works on the table that the step before returned, once that has
+    been written. Runs know nothing of each other, so one never removes what another reads."""
+
+    def __init__(self):
+        self.left: list[tuple[int, str]] = []
+
+    @contextmanager
+    def step(self, number: int, docs: DataFrame) -> Iterator[None]:
+        """What steps of lower numbers of this run staged goes at the start, but for what ``docs`` reads itself. What is
+        staged in this block stays for the table that it returns, until a later step of the run starts."""
+        reads = docs.inputFiles() if any(k < number for k, _ in self.left) else []
+        for left in [x for x in self.left if x[0] < number and not any(x[1] in file for file in reads)]:
+            removed(docs.sparkSession, left[1])
+            self.left.remove(left)
+        OPEN.open.append([])
+        try:
+            yield
+        finally:
+            self.left.extend((number, folder) for folder in OPEN.open.pop())
 
 
 def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
@@ -81,10 +89,10 @@ def staged(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     if keep:
-        if len(OPEN) > 1:
-            OPEN[-2].append(path)
-    elif OPEN:
-        OPEN[-1].append(path)
+        if len(OPEN.open) > 1:
+            OPEN.open[-2].append(path)
+    elif OPEN.open:
+        OPEN.open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

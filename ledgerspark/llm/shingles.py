@@ -17,8 +17,9 @@ WORDS, SHARED, OF = 5, 4, 5
 #: Minima in a band, bands. A pair at 0.8 agrees in a band with 0.8**5, so in none of 24 with 7e-5.
 ROWS, BANDS = 5, 24
 SEED = 42
-#: Row ids up to which those of the texts to compare, or of the copies to drop, are broadcast; beyond, the join is shuffled.
-IDS = 4_000_000
+#: Bytes of longs up to which row ids, of the texts to compare or of the copies to drop, are broadcast; beyond, the join
+#: is shuffled.
+BROADCAST = 32 << 20
 #: Others of one text that are compared with it in one place.
 CROWD = 1000
 #: Others that a node is compared with first, of those that share a bucket with it.
@@ -78,10 +79,15 @@ def with_sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.mapInArrow(add, schema)
 
 
+def small(longs: DataFrame) -> DataFrame:
+    """For a broadcast, if all its longs take at most ``BROADCAST`` bytes."""
+    return F.broadcast(longs) if longs.count() * len(longs.columns) * 8 <= BROADCAST else longs
+
+
 def texts_of(ids: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """node, text of the nodes in ``ids`` (node, unique): the text of the row that stands for each."""
     ids = staged(nodes.join(ids, "node", "left_semi").select("node", F.col("label.row_id").alias("row_id")), "compared")
-    ids = F.broadcast(ids) if ids.count() <= IDS else ids
+    ids = small(ids)
     return staged(rows.select("row_id", F.col("doc.text").alias("text")).join(ids, "row_id").select("node", "text"), "texts")
 
 
@@ -96,7 +102,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, words: int = W
     hubs = crowd.select(F.col("b").alias("node"), F.col("b").alias("hub"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("places") - 1)).alias("place"))
     sent = others.unionByName(hubs).join(nodes.select("node", F.col("label.row_id").alias("row_id")), "node")
     sent = staged(sent.select("row_id", "hub", "place", "node"), "sent")
-    sent = F.broadcast(sent) if sent.count() <= IDS else sent
+    sent = small(sent)
     texts = rows.select("row_id", F.col("doc.text").alias("text")).join(sent, "row_id").select("hub", "place", "node", "text")
     met = texts.repartition("hub", "place").sortWithinPartitions("hub", "place", F.col("node") != F.col("hub"))
 
@@ -278,5 +284,5 @@ def without_near_copies(docs: DataFrame, words: int = WORDS) -> DataFrame:
         roots = labelled_components(rows, words).select("node", F.col("label.row_id").alias("root"))
         copies = rows.select("row_id", "node").join(roots, "node").where("row_id <> root").select("row_id")
         copies = staged(copies, "copies", keep=True)
-    copies = F.broadcast(copies) if copies.count() <= IDS else copies
+    copies = small(copies)
     return rows.join(copies, "row_id", "left_anti").select("doc.*")

@@ -1,11 +1,13 @@
 """The pipeline's near-duplicate stage against all pairs in Python."""
 
 import os
+import threading
 import random
 
 import corpus_pipeline
 from ledgerspark.llm import shingles as module
-from ledgerspark.llm.common import OPEN, staged, step
+import corpus_pipeline
+from ledgerspark.llm.common import OPEN, Steps, scratch, staged
 from ledgerspark.llm.shingles import near, shingles, verified
 
 SF, SF2 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
@@ -90,13 +92,50 @@ def test_pairs_of_a_crowd_dealt_over_several_places(spark, monkeypatch):
     assert sorted((r.a, r.b) for r in got) == sorted(want) and 20 < len(want) < len(asked)
 
 
-def test_steps_remove_what_earlier_ones_staged(spark):
-    docs = spark.range(3)
-    with step(0, docs):
+def folders(*tables):
+    return [os.path.dirname(t.inputFiles()[0].removeprefix("file:").replace("///", "/")) for t in tables]
+
+
+def test_steps_remove_what_earlier_ones_of_their_run_staged(spark):
+    docs, run, other_run = spark.range(3), Steps(), Steps()
+    with run.step(0, docs):
         read, other = staged(docs, "read"), staged(docs, "other")
-    folders = [os.path.dirname(t.inputFiles()[0].removeprefix("file:").replace("///", "/")) for t in (read, other)]
-    with step(1, read):
-        assert [os.path.exists(f) for f in folders] == [True, False]
-    with step(2, docs):
-        assert not os.path.exists(folders[0])
-    assert not OPEN
+    with other_run.step(0, docs):
+        kept = staged(docs, "kept")
+    lazy = kept.where("id > 0")
+    places = folders(read, other)
+    with run.step(1, read):
+        assert [os.path.exists(f) for f in places] == [True, False]
+    with run.step(2, docs):
+        assert not os.path.exists(places[0])
+    assert lazy.count() == 2  # the run beside it has gone on, and this one's table is there
+    with other_run.step(1, docs):
+        assert not os.path.exists(folders(kept)[0])
+    assert not OPEN.open
+
+
+def test_blocks_of_threads_do_not_mix(spark):
+    docs, entered, left = spark.range(3), threading.Event(), threading.Event()
+
+    def beside():
+        with scratch(spark):
+            entered.set()
+            left.wait(60)
+
+    worker = threading.Thread(target=beside)
+    worker.start()
+    entered.wait(60)
+    run = Steps()
+    with run.step(0, docs):
+        table = staged(docs, "own")
+    left.set()
+    worker.join()
+    assert table.count() == 3 and len(run.left) == 1
+
+
+def test_a_lazy_result_outlives_another_run_of_the_pipeline(spark):
+    own = corpus_pipeline.Steps()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    lazy = corpus_pipeline.near_dedup(spark, docs, "/root/testdata/sf0.001", own)
+    corpus_pipeline.secret_scan(spark, docs, "/root/testdata/sf0.001", Steps())
+    assert 0 < lazy.count() <= 200

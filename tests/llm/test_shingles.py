@@ -1,12 +1,11 @@
 """The pipeline's near-duplicate stage against all pairs in Python."""
 
 import os
-import threading
 import random
+import threading
 
 import corpus_pipeline
 from ledgerspark.llm import shingles as module
-import corpus_pipeline
 from ledgerspark.llm.common import OPEN, Steps, scratch, staged
 from ledgerspark.llm.shingles import near, shingles, verified
 

@@ -20,3 +20,12 @@ def labelled(spark: SparkSession, sf_dir: str, label: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/labels.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1) & (fold() != HELD_OUT))
     return rows.groupBy("doc_id").agg(F.min("y").alias("y"))
+
+
+#: Labels (two longs each) up to which they are broadcast; beyond, joins with them are shuffled.
+BROADCAST = 1_000_000
+
+
+def few(labels: DataFrame) -> bool:
+    """Whether labels may be broadcast."""
+    return labels.count() <= BROADCAST

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructType
 
 from .common import documents, scratch, staged, whole_row
-from .labels import HELD_OUT, fold, labelled
+from .labels import HELD_OUT, few, fold, labelled
 
 #: Random features, ridge penalty for each labelled row, seed, fold for calibration, bins of a raw score's unit.
 FEATURES, PENALTY, SEED, CALIBRATION, BINS = 256, 1e-4, 20, 3, 200
@@ -182,7 +182,7 @@ def scored(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None) -
     """
     rows = staged(with_statistics(docs, docs.columns if carry is None else carry), "statistics")
     with scratch(docs.sparkSession):
-        known = rows.select("doc_id", "stats").join(labels, "doc_id").select("stats", "y", (fold() == CALIBRATION).alias("calibrates"))
+        known = rows.select("doc_id", "stats").join(F.broadcast(labels) if few(labels) else labels, "doc_id").select("stats", "y", (fold() == CALIBRATION).alias("calibrates"))
         model = fitted(staged(known, "labelled"))
 
     def add(batches: Iterator) -> Iterator:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WHITESPACE, bind, documents, scratch, staged, text_or_empty, whole_row
-from .labels import fold, labelled
+from .labels import few, fold, labelled
 
 #: Statistics that rules may set thresholds on.
 FEATURES = ["n_words", "word_length", "symbol_share", "dup_line_share", "repeat_share", "upper_share", "exclaim_share", "variety", "line_words"]
@@ -193,9 +193,13 @@ def ruled(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, sa
     of them: it fails short texts that are labelled as good.
 
     A null text counts as empty. Repeated rows get the same verdict. No rows give no rows, no labels no rules. Other
-    columns are ignored. Labels are joined to statistics, not texts.
+    columns are ignored. Labels are joined to statistics; those of ``sample`` to texts if
+    they are few enough for a broadcast.
     """
     rows = staged(statistics(docs, carry), "statistics")
+    labels = F.broadcast(labels) if (sent := few(labels)) else labels
+    if sample is not None and sent:  # statistics of labelled rows only
+        sample = sample.join(labels.select("doc_id"), "doc_id", "left_semi")
     known = rows if sample is None else statistics(sample, ["doc_id"])
     known = known.select("doc_id", *FEATURES).join(labels, "doc_id").select(*FEATURES, "y", (fold() != 3).alias("grow"))
     with scratch(docs.sparkSession):

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.staging import staged
+
 
 def read_csv_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Headered CSV, every column a string, empty means missing."""
@@ -38,10 +40,27 @@ def read_manifest(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def cells_of(line: Column) -> Column:
+    """Cells of a CSV line: a quoted one may hold commas and doubled quotes; blanks around are cut; empty ones are null."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(',(\\s*"(?:[^"]|"")*"\\s*|[^,]*)'), F.lit(1))
+    bare = lambda c: F.when(F.trim(c).rlike('(?s)^".*"$'), F.replace(F.regexp_extract(c, '(?s)"(.*)"', 1), F.lit('""'), F.lit('"'))).otherwise(c)
+    return F.transform(raw, lambda c: F.nullif(F.trim(bare(c)), F.lit("")))
+
+
 def read_grid(spark: SparkSession, path: str, skip: int = 0) -> DataFrame:
-    """Headerless CSV: file, row_no, cells. Rows are numbered in their file."""
-    rows = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("doc_id"), F.posexplode(F.split(F.regexp_replace("value", "[\\r\\n]+$", ""), "\r?\n")).alias("row_no", "line"))
-    return rows.where(F.col("row_no") >= skip).select("doc_id", "row_no", F.transform(F.split("line", ","), lambda c: F.nullif(F.trim(c), F.lit(""))).alias("cells"))
+    """Headerless CSV: doc_id (the file), row_no, cells. Rows are lines, numbered from 0 in their file.
+
+    A large file is read by several tasks: each numbers the lines of its split, and what comes before is the sum of the
+    splits before it in the file, one row a split. Line breaks within quotes aren't known. Empty lines count, but for
+    what follows a file's last line break.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("doc_id"), F.col("_metadata.file_block_start").alias("split"), F.regexp_replace("value", "\r$", "").alias("line"), F.monotonically_increasing_id().alias("at"))
+    rows = staged(lines, "lines")
+    splits = rows.groupBy("doc_id", "split").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("doc_id").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    bases = splits.select("doc_id", "split", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("base"))
+    numbered = rows.join(bases, ["doc_id", "split"]).withColumn("row_no", (F.col("at") + F.col("base")).cast("int"))
+    return numbered.where(F.col("row_no") >= skip).select("doc_id", "row_no", cells_of(F.col("line")).alias("cells"))
 
 
 def registry(docs: DataFrame, state: str | None = None, limit: int | None = None) -> DataFrame:

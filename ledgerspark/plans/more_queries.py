@@ -211,10 +211,10 @@ def win_16(spark, sf_dir):
     return rel.latest_period(budget_lines(spark, sf_dir), ["state", "col_type", "major"], "fy", "1999-00")
 
 
-@query("srt_01", "SELECT p_brand AS code, p_size AS n, p_partkey FROM part ORDER BY 1, 2, 3 LIMIT 40")
+@query("srt_01", "SELECT p_brand AS code, p_size AS n, p_type AS source, p_partkey FROM part ORDER BY 1, 2, 3, 4")
 def srt_01(spark, sf_dir):
-    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("code"), F.col("p_size").cast("string").alias("n"), "p_partkey")
-    return rows.orderBy("code", F.col("n").cast("int"), "p_partkey").limit(40).withColumn("n", F.col("n").cast("int"))
+    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("code"), F.col("p_size").cast("string").alias("n"), F.col("p_type").alias("source"), "p_partkey")
+    return rows.orderBy("code", F.col("n").cast("int"), "source", "p_partkey").withColumn("n", F.col("n").cast("int"))
 
 
 @query("srt_02", f"WITH {LINES}, s AS (SELECT {SECTOR} AS sector, {SUB_SECTOR} AS sub_sector, sum(amount) AS amount FROM lines GROUP BY 1, 2) SELECT sector, sub_sector, CAST(row_number() OVER (PARTITION BY sector ORDER BY amount DESC, sub_sector) AS INT) AS place FROM s")

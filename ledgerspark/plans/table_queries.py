@@ -284,6 +284,11 @@ def win_15(spark, sf_dir):
     return agg_20(spark, sf_dir).select("fy", F.round((F.col("re") - F.col("be")) / F.col("be") * 100, 4).alias("re_vs_be"))
 
 
+@query("win_15_actual", f"WITH {LINES}, p AS (SELECT fy, CAST(sum(CASE WHEN col_type = 'be' THEN amount END) AS DOUBLE) AS be, CAST(sum(CASE WHEN col_type = 'actual' THEN amount END) AS DOUBLE) AS actual FROM lines GROUP BY 1) SELECT fy, round((actual - be) / be * 100, 4) AS actual_vs_be FROM p")
+def win_15_actual(spark, sf_dir):
+    return agg_20(spark, sf_dir).select("fy", F.round((F.col("actual") - F.col("be")) / F.col("be") * 100, 4).alias("actual_vs_be"))
+
+
 @query("srt_03", "SELECT user_id, list_sort(list(CAST(value AS DECIMAL(18,4))), 'DESC')[1] AS first, list_sort(list(CAST(value AS DECIMAL(18,4))), 'DESC')[2] AS second FROM events GROUP BY 1")
 def srt_03(spark, sf_dir):
     # two partial maxima instead of a whole list

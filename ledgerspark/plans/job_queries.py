@@ -271,16 +271,16 @@ def job_17(spark, sf_dir):
     return jobs.stress_leaderboard(statements(spark, sf_dir), "pct")
 
 
-@query("job_18", """WITH g AS (SELECT n_regionkey AS doc_id, min(n_nationkey) AS k FROM nation WHERE contains(n_name, 'NATION_1') GROUP BY 1), v AS (SELECT doc_id, p.period, CAST(k * 10 + i AS DOUBLE) AS interest, CAST(k % 3 * (100 + i) AS DOUBLE) AS revenue FROM g, (VALUES (0, 'a'), (1, 'b'), (2, 'c')) p(i, period))
+@query("job_18", """WITH g AS (SELECT o_custkey AS doc_id, min(o_orderkey) AS k FROM orders WHERE contains(lower(o_orderpriority), 'urgent') GROUP BY 1), v AS (SELECT doc_id, p.period, CAST(k * 10 + i AS DOUBLE) AS interest, CAST(k % 3 * (100 + i) AS DOUBLE) AS revenue FROM g, (VALUES (0, 'a'), (1, 'b'), (2, 'c')) p(i, period))
 SELECT *, CASE WHEN revenue > 0 THEN round_even(interest * 100 / revenue, 2) ELSE 0 END AS ratio FROM v""")
 def job_18(spark, sf_dir):
-    key = F.col("n_nationkey")
+    key = F.col("o_orderkey")
 
     def grid_of(value):
-        cells = F.array(key.cast("string"), F.col("n_name"), *[value(i).cast("string") for i in range(3)])
-        return table(spark, sf_dir, "nation").select(F.col("n_regionkey").alias("doc_id"), key.alias("row_no"), cells.alias("cells"))
+        cells = F.array(key.cast("string"), F.col("o_orderpriority"), *[value(i).cast("string") for i in range(3)])
+        return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc_id"), key.alias("row_no"), cells.alias("cells"))
 
-    return jobs.interest_burden(grid_of(lambda i: key * 10 + i), grid_of(lambda i: key % 3 * (100 + i)), "nation_1", ["a", "b", "c"])
+    return jobs.interest_burden(grid_of(lambda i: key * 10 + i), grid_of(lambda i: key % 3 * (100 + i)), "Urgent", ["a", "b", "c"])
 
 
 @query("job_20", """WITH l AS (SELECT l_orderkey AS doc_id, l_linenumber AS line_no, p_name, l_orderkey % 3 AS u, CAST(CAST(l_quantity AS DECIMAL(18,2)) AS DOUBLE) AS q FROM lineitem JOIN part ON l_partkey = p_partkey)
@@ -306,11 +306,11 @@ def job_21(spark, sf_dir):
     return jobs.wage_rows(lines, table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), title.alias("title")))
 
 
-@query("job_22", "SELECT CAST(1990 + n_nationkey AS VARCHAR) AS year, n_nationkey / 10.0 AS ghe_pct_gdp, n_nationkey + 0.5 AS oope_pct_the, n_nationkey * 2.0 AS ghe_pct_the, CAST(n_nationkey * 100 AS BIGINT) AS per_capita_ghe_inr, CAST(n_nationkey * 50 AS BIGINT) AS per_capita_oope_inr FROM nation")
+@query("job_22", "SELECT CAST(1990 + c_custkey AS VARCHAR) AS year, c_custkey / 10.0 AS ghe_pct_gdp, c_custkey + 0.5 AS oope_pct_the, c_custkey * 2.0 AS ghe_pct_the, CAST(c_custkey * 100 AS BIGINT) AS per_capita_ghe_inr, CAST(c_custkey * 50 AS BIGINT) AS per_capita_oope_inr FROM customer")
 def job_22(spark, sf_dir):
-    k = F.col("n_nationkey")
+    k = F.col("c_custkey")
     parts = {"Per_Capita_OOPE_INR": k * 50, "Per_Capita_GHE_INR": k * 100, "GHE_Pct_THE": k * 2, "OOPE_Pct_THE": k + F.lit(0.5).cast("double"), "GHE_Pct_GDP": k / 10, "Year": 1990 + k, "extra": k}
-    return jobs.health_accounts(table(spark, sf_dir, "nation").select(*[c.cast("string").alias(n) for n, c in parts.items()]))
+    return jobs.health_accounts(table(spark, sf_dir, "customer").select(*[c.cast("string").alias(n) for n, c in parts.items()]))
 
 
 @query("job_24", """WITH r AS (SELECT p_name AS scheme, CASE WHEN p_name = 'small ring' THEN 'rings' ELSE 'icds_anganwadi_services' END AS canonical, CAST(2000 + p_partkey % 9 AS VARCHAR) AS fiscal_year, CASE WHEN p_partkey % 2 = 0 THEN 'be' ELSE 'actual' END AS col_type, CAST(p_size AS DOUBLE) AS s, p_partkey FROM part)

@@ -79,10 +79,10 @@ def flt_15(spark, sf_dir):
     return nested.select("code", kept.alias("changes")).where(F.size("changes") > 0).select("code", F.size("changes").cast("long").alias("n"))
 
 
-@query("flt_16", "SELECT CAST(n_nationkey AS VARCHAR) AS year, n_nationkey * 1.0 AS ghe_pct_gdp FROM nation")
+@query("flt_16", "SELECT CAST(c_custkey AS VARCHAR) AS year, c_custkey * 1.0 AS ghe_pct_gdp FROM customer")
 def flt_16(spark, sf_dir):
-    columns = [F.col("n_nationkey").cast("string").alias(c) for c in jobs.HEALTH]
-    return jobs.health_accounts(table(spark, sf_dir, "nation").select(*columns)).select("year", "ghe_pct_gdp")
+    columns = [F.col("c_custkey").cast("string").alias(c) for c in jobs.HEALTH]
+    return jobs.health_accounts(table(spark, sf_dir, "customer").select(*columns)).select("year", "ghe_pct_gdp")
 
 
 @query("flt_17", "SELECT page_id, lower(regexp_extract(url, '^[a-z]+://([^/]*)', 1)) AS slug, CAST(CASE WHEN page_id % 3 = 0 THEN 2 ELSE 1 END AS INT) AS n FROM pages")

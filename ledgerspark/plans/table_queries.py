@@ -328,9 +328,9 @@ def snk_03(spark, sf_dir):
     return rel.replace_slices(rows.drop("c_acctbal"), rows.where("state < 5 AND c_acctbal > 0").drop("c_acctbal"), "state")
 
 
-@query("snk_05", "SELECT n_nationkey, 'pending' AS parsing_status FROM nation")
+@query("snk_05", "SELECT o_orderkey, 'pending' AS parsing_status FROM orders")
 def snk_05(spark, sf_dir):
-    return rel.with_defaults(table(spark, sf_dir, "nation"), {"parsing_status": "pending", "n_name": "x"}).select("n_nationkey", "parsing_status")
+    return rel.with_defaults(table(spark, sf_dir, "orders"), {"parsing_status": "pending", "o_orderstatus": "x"}).select("o_orderkey", "parsing_status")
 
 
 @query("job_06", f"WITH {LINES} SELECT major || '-' || sub || '-' || minor AS code, string_agg(fy || ':' || be, ',' ORDER BY fy) AS series FROM (SELECT major, sub, minor, fy, sum(amount) AS be FROM lines WHERE col_type = 'be' GROUP BY 1, 2, 3, 4) GROUP BY 1")

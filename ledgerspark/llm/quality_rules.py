@@ -193,13 +193,12 @@ def ruled(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None, sa
     of them: it fails short texts that are labelled as good.
 
     A null text counts as empty. Repeated rows get the same verdict. No rows give no rows, no labels no rules. Other
-    columns are ignored. Labels are joined to statistics; those of ``sample`` to texts if
-    they are few enough for a broadcast.
+    columns are ignored. Labels are joined to statistics, by a shuffle that deals the
+    labelled rows evenly to the learner; texts of ``sample`` without a label are left out before, if labels are few.
     """
     rows = staged(statistics(docs, carry), "statistics")
-    labels = F.broadcast(labels) if (sent := few(labels)) else labels
-    if sample is not None and sent:  # statistics of labelled rows only
-        sample = sample.join(labels.select("doc_id"), "doc_id", "left_semi")
+    if sample is not None and few(labels):  # statistics of labelled rows only
+        sample = sample.join(F.broadcast(labels.select("doc_id")), "doc_id", "left_semi")
     known = rows if sample is None else statistics(sample, ["doc_id"])
     known = known.select("doc_id", *FEATURES).join(labels, "doc_id").select(*FEATURES, "y", (fold() != 3).alias("grow"))
     with scratch(docs.sparkSession):

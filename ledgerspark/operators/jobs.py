@@ -30,6 +30,8 @@ HEALTH = {
     "Year": "year", "GHE_Pct_GDP": "ghe_pct_gdp", "OOPE_Pct_THE": "oope_pct_the", "GHE_Pct_THE": "ghe_pct_the", "Per_Capita_GHE_INR": "per_capita_ghe_inr", "Per_Capita_OOPE_INR": "per_capita_oope_inr",
 }
 HIGH_STRESS = 15.0
+#: The product that prose states.
+PRODUCT = "GSDP"
 MEASURES = ["revenue", "capital", "total"]
 
 
@@ -69,6 +71,30 @@ def allocations_from_text(lines: DataFrame, canonical: DataFrame, headers: list[
     return rows.join(canonical, "source_name").select("doc_id", "page_no", "line_no", F.col("canonical").alias("scheme"), F.lit("be").alias("col_type"), "total")
 
 
+def allocations_of_pages(lines: DataFrame, cells: DataFrame, docs: DataFrame, canonical: DataFrame, headers: list[str], keywords: list[str]) -> DataFrame:
+    """id, doc_id, scheme, col_type, fiscal_year, total of schemes on pages with a header keyword: of table rows where the
+    page has tables (``cells``: doc_id, page_no, table_no, row_no, cells), else of lines (doc_id, page_no, line_no, line)
+    that end in an amount. A row's amount is its last cell that isn't empty; a name counts if it holds one of
+    ``keywords`` and ``canonical`` (source_name, canonical) knows it. ``docs``: doc_id, fy. The first of an id stays, of
+    rows in one place the first by name and amount."""
+    wanted = [h.lower() for h in headers]
+    pages = lines.where(values.contains_any(F.lower("line"), wanted)).select("doc_id", "page_no").distinct()
+    known = lambda c: values.contains_any(F.lower(c), [k.lower() for k in keywords])
+    place = ["doc_id", "page_no"]
+    name = F.trim(F.get("cells", F.lit(0)))
+    given = F.filter(F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))), lambda x: x.isNotNull() & ~F.trim(x).isin("", "nan"))
+    amount = F.replace(F.try_element_at(given, F.lit(-1)), F.lit(","), F.lit("")).try_cast("double")
+    tabled = cells.join(pages, place, "left_semi").select(*place, "table_no", "row_no", name.alias("source_name"), amount.alias("total"))
+    said, trailing = values.trailing_amount(F.trim("line"))
+    plain = lines.join(pages, place, "left_semi").join(cells.select(*place).distinct(), place, "left_anti")
+    plain = plain.select(*place, F.lit(None).cast("long").alias("table_no"), F.col("line_no").cast("long").alias("row_no"), said.alias("source_name"), trailing.alias("total"))
+    rows = tabled.withColumns({c: F.col(c).cast("long") for c in ("table_no", "row_no")}).unionByName(plain).where(known(F.col("source_name")) & F.col("total").isNotNull())
+    found = rows.join(canonical, "source_name").join(docs.select("doc_id", "fy"), "doc_id").withColumnsRenamed({"canonical": "scheme", "fy": "fiscal_year"}).withColumn("col_type", F.lit("be"))
+    found = found.withColumn("id", values.row_id(*map(F.col, ["doc_id", "scheme", "fiscal_year", "col_type"])))
+    best = found.groupBy("id").agg(F.min_by(F.struct("doc_id", "scheme", "col_type", "fiscal_year", "total"), F.struct("page_no", "table_no", "row_no", "source_name", "total")).alias("r"))
+    return best.select("id", "r.*")
+
+
 def scheme_timeseries(grid: DataFrame, docs: DataFrame, keywords: list[str]) -> DataFrame:
     """fiscal_year, actual, be, re, re_vs_be, actual_vs_be: the first row of each document that a keyword names, of each
     figure its latest reading."""
@@ -193,19 +219,24 @@ def receipt_heads(lines: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id", "account", "sector", "head").agg(F.greatest(F.max("amount"), F.lit(0).cast("decimal(18,2)")).alias("amount"), F.min("pos").alias("first_at"))
 
 
-def receipts_balance(lines: DataFrame, demands: DataFrame) -> DataFrame:
-    """doc_id, own_tax, own_nontax, devolution, grants, social, economic, general, net_borrowing from receipt lines and
-    demands (doc_id, major, amount). Debt is no use; grants count as general services."""
-    heads = receipt_heads(lines)
+def receipt_income(heads: DataFrame) -> DataFrame:
+    """doc_id, own_tax, own_nontax, devolution, grants from ``receipt_heads``: tax heads split by whether the Centre collects
+    them; of the grants' head the first by position under any account. What is missing is zero."""
     sector = lambda s: (F.col("account") == "rev") & (F.col("sector") == s)
     central = F.col("head").isin(*CENTRAL_TAXES)
     total = lambda test: F.round(F.coalesce(F.sum(F.when(test, F.col("amount"))), F.lit(0)), 1).cast("decimal(18,1)")
     grant = F.col("head") == GRANT_HEAD
     first_grant = F.min_by(F.when(grant, F.col("amount")), F.when(grant, F.col("first_at")))
-    income = heads.groupBy("doc_id").agg(
+    return heads.groupBy("doc_id").agg(
         total(sector("A") & ~central).alias("own_tax"), total(sector("B")).alias("own_nontax"), total(sector("A") & central).alias("devolution"),
         F.round(F.coalesce(first_grant, F.lit(0)), 1).cast("decimal(18,1)").alias("grants"),
     )
+
+
+def receipts_balance(lines: DataFrame, demands: DataFrame) -> DataFrame:
+    """doc_id, own_tax, own_nontax, devolution, grants, social, economic, general, net_borrowing from receipt lines and
+    demands (doc_id, major, amount). Debt is no use; grants count as general services."""
+    income = receipt_income(receipt_heads(lines))
     by_head = demands.where(F.col("major").rlike("^[0-9]+$")).groupBy("doc_id", "major").agg(F.sum(F.coalesce("amount", F.lit(0))).alias("amount"))
     macro = fiscal.classify(F.col("major"))[0]
     named = by_head.select("doc_id", F.when(macro == "grants", "general").otherwise(macro).alias("macro"), "amount")
@@ -360,6 +391,25 @@ def fiscal_indicators(lines: DataFrame) -> DataFrame:
     return found.join(unit, "doc_id").select("doc_id", "line_no", "indicator", values.to_crore(F.col("value"), scale).alias("crore"))
 
 
+def prose_indicators(texts: DataFrame) -> DataFrame:
+    """doc_id, indicator, crore: the first product of the state that a text (doc_id, text) names in lakh crore, in its own or
+    the legacy font, wherever lines break. A dash within the number is a decimal point. Null texts give no row."""
+    font = dict(values.LEGACY_FONT)
+    gap = "[\\s\\p{Z}]+"
+    pattern = gap.join([font["th0,l0Mh0ih0"], "([0-9.-]+)", font["yk[k"], font["djksM"]])
+    number = F.replace(F.regexp_extract(values.legacy_font(F.col("text")), pattern, 1), F.lit("-"), F.lit(".")).try_cast("double")
+    return texts.select("doc_id", F.lit(PRODUCT).alias("indicator"), (number * 100000).alias("crore")).where("crore is not null")
+
+
+def document_indicators(texts: DataFrame) -> DataFrame:
+    """doc_id, line_no, indicator, crore of whole texts (doc_id, text): the product named in prose (line_no null), then each
+    line with a label and two columns in the unit that the document declares. Lines count from 0. Rows are appended, so a
+    text that stands twice counts twice."""
+    lines = texts.select("doc_id", F.posexplode(F.split("text", "\r\n|[\n\r\f\x0B]")).alias("line_no", "line"))
+    prose = prose_indicators(texts).withColumn("line_no", F.lit(None).cast("int"))
+    return fiscal_indicators(lines).unionByName(prose.select("doc_id", "line_no", "indicator", "crore"))
+
+
 def wage_rows(lines: DataFrame, notifications: DataFrame) -> DataFrame:
     """doc_id, line_no, category, skill, daily, monthly of wage notifications (doc_id, title) from their ``lines``
     (doc_id, line_no, line). Lines that name a skill count as they are; others need a daily and a monthly rate that fit

@@ -42,12 +42,12 @@ UNION ALL SELECT a.code, 'booked', k.fy, NULL, k.amount, NULL FROM mine a JOIN b
 BOOKED = "booked AS (SELECT major || '-' || sub || '-' || minor AS code, fy, CAST(sum(amount) AS DOUBLE) AS amount FROM lines WHERE col_type = 'be' GROUP BY 1, 2)"
 
 
-@query("job_15_details", f"WITH {HEADS}, {FLAT}, {NOTED}, {BOOKED}, hits AS (SELECT code FROM heads WHERE contains(label, 'hot') AND contains(label, 'ring') AND contains(code, '210')), {sections('hits')}")
+@query("job_15_details", f"WITH {HEADS}, {FLAT}, {NOTED}, {BOOKED}, hits AS (SELECT code FROM heads WHERE contains(label, 'rod') AND contains(code, '210') AND contains(code, '003')), {sections('hits')}")
 def job_15_details(spark, sf_dir):
     """All that is known of the heads that a subject search finds."""
     chart = staged(heads(spark, sf_dir), "heads")
     booked = budget_lines(spark, sf_dir).where("col_type = 'be'").groupBy(F.concat_ws("-", "major", "sub", "minor").alias("code"), "fy").agg(F.sum("amount").alias("amount"))
-    return hd.head_details(chart, numbered_notes(spark, sf_dir), flat_events(spark, sf_dir), booked, rel.subject_hits(chart, "hot ring 210"))
+    return hd.head_details(chart, numbered_notes(spark, sf_dir), flat_events(spark, sf_dir), booked, rel.subject_hits(chart, "rod, 210 003"))
 
 
 @query("job_14_payload", f"""WITH {HEADS}, {EVENTS}, {NOTED}, ch AS (SELECT 'CS ' || (event_id // 8) AS slip, CAST(ts AS DATE) AS date, event_id, action, code, label, CASE WHEN action = 'RENAME' THEN 'old ' || label END AS old_label FROM slips),

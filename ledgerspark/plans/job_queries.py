@@ -212,6 +212,12 @@ def job_10(spark, sf_dir):
     return jobs.head_tree(head_rows(spark, sf_dir))
 
 
+def paragraphs(spark, sf_dir):
+    key = F.col("p_partkey")
+    line = F.when(F.floor(key / 20) % 4 == 0, F.concat(F.lit("( 0"), F.col("p_size").cast("string"), F.lit(") "), F.col("p_name"))).otherwise(F.col("p_name"))
+    return table(spark, sf_dir, "part").select((key % 20).alias("table_id"), key.alias("pos"), line.alias("text"))
+
+
 NOTES = """nr AS (SELECT p_partkey % 20 AS t, p_partkey AS n, (p_partkey // 20) % 4 = 0 AS starts, CAST(p_size AS VARCHAR) AS number, p_name FROM part),
 nn AS (SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY t ORDER BY n) AS run FROM nr),
 nt AS (SELECT t, run, max(number) FILTER (starts) AS number, string_agg(p_name, ' ' ORDER BY n) AS note FROM nn WHERE run > 0 GROUP BY 1, 2),
@@ -220,10 +226,7 @@ notes AS (SELECT t, number, arg_max(note, run) AS note FROM nt GROUP BY 1, 2)"""
 
 @query("job_11", f"WITH {HEAD_ROWS}, {NOTES} SELECT DISTINCT code, marker AS note_number, note FROM hc JOIN notes ON hc.t = notes.t AND marker = number")
 def job_11(spark, sf_dir):
-    key = F.col("p_partkey")
-    line = F.when(F.floor(key / 20) % 4 == 0, F.concat(F.lit("( 0"), F.col("p_size").cast("string"), F.lit(") "), F.col("p_name"))).otherwise(F.col("p_name"))
-    paragraphs = table(spark, sf_dir, "part").select((key % 20).alias("table_id"), key.alias("pos"), line.alias("text"))
-    return jobs.scope_notes(head_rows(spark, sf_dir), paragraphs)
+    return jobs.scope_notes(head_rows(spark, sf_dir), paragraphs(spark, sf_dir))
 
 
 @query("job_12", f"WITH {VERSIONS} SELECT CAST(2 AS INT) AS version, 'Correction Slip Nos. 655-662' AS label, '655,656,657,658,659,660,661,662' AS slips, coalesce(a.code, b.code) AS code, CASE WHEN a.code IS NULL THEN 'INSERT' WHEN b.code IS NULL THEN 'DELETE' WHEN a.label <> b.label THEN 'RENAME' ELSE 'UPDATE' END AS action, coalesce(b.label, a.label) AS new_label, CASE WHEN a.label <> b.label THEN a.label END AS old_label FROM v1 a FULL JOIN v2 b ON a.code = b.code WHERE a.code IS NULL OR b.code IS NULL OR a.label <> b.label OR a.parent_code <> b.parent_code")

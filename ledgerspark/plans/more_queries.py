@@ -11,7 +11,7 @@ from ..operators import relational as rel
 from ..operators import windows as win
 from ..sources import readers
 from .bindings import AMOUNT_LINES, EVENTS, HEADS, LINES, PROBES, STATEMENTS, amount_lines, budget_lines, heads, probes, rules_sql, slip_events, statements, table
-from .job_queries import CLASS_SQL, HEAD_ROWS, PART_NOTES, canonical, grid, head_rows, notes_of_parts
+from .job_queries import CLASS_SQL, HEAD_ROWS, NOTES, PART_NOTES, canonical, grid, head_rows, notes_of_parts, paragraphs
 from .registry import query
 from .table_queries import count_n
 
@@ -126,12 +126,11 @@ def joi_08(spark, sf_dir):
     return notes_of_parts(spark, sf_dir).where("trim(note) <> ''").join(heads(spark, sf_dir).select("code"), "code", "left_semi")
 
 
-@query("joi_09", f"WITH {HEAD_ROWS} SELECT DISTINCT code, marker AS number, t AS table_id FROM hc WHERE CAST(marker AS INT) % 2 = 0")
+@query("joi_09", f"WITH {HEAD_ROWS}, {NOTES} SELECT DISTINCT hc.code, hc.marker AS number, hc.t AS table_id FROM hc JOIN notes ON hc.t = notes.t AND hc.marker = notes.number")
 def joi_09(spark, sf_dir):
     rows = jobs.labelled_heads(head_rows(spark, sf_dir))
     marked = rows.select("table_id", "code", F.explode(values.markers(F.col("label"))).alias("number")).distinct()
-    notes = marked.select("table_id", "number").distinct().where("cast(number as int) % 2 = 0")
-    return marked.join(notes, ["table_id", "number"]).select("code", "number", "table_id")
+    return marked.join(jobs.numbered_notes(paragraphs(spark, sf_dir)), ["table_id", "number"]).select("code", "number", "table_id")
 
 
 @query("joi_16", "SELECT event_id FROM events WHERE event_id NOT IN (SELECT p_partkey FROM part)")

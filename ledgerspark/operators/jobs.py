@@ -30,6 +30,9 @@ HEALTH = {
     "Year": "year", "GHE_Pct_GDP": "ghe_pct_gdp", "OOPE_Pct_THE": "oope_pct_the", "GHE_Pct_THE": "ghe_pct_the", "Per_Capita_GHE_INR": "per_capita_ghe_inr", "Per_Capita_OOPE_INR": "per_capita_oope_inr",
 }
 HIGH_STRESS = 15.0
+# Extensions of sheets, and routes of documents whose pages are read.
+SHEETS = ["xls", "xlsx"]
+PAGE_ROUTES = ["text_pdf", "table_pdf", "scanned_pdf"]
 #: The product that prose states.
 PRODUCT = "GSDP"
 MEASURES = ["revenue", "capital", "total"]
@@ -95,6 +98,21 @@ def allocations_of_pages(lines: DataFrame, cells: DataFrame, docs: DataFrame, ca
     return best.select("id", "r.*")
 
 
+def extracted_allocations(existing: DataFrame, docs: DataFrame, grid: DataFrame, lines: DataFrame, cells: DataFrame, canonical: DataFrame, headers: list[str], keywords: list[str]) -> DataFrame:
+    """``existing`` (id, doc_id, scheme, col_type, fiscal_year, revenue, capital, total) and what the documents add to it.
+
+    ``docs`` (doc_id, ext, route, fy) says how each is read: sheets by ``scheme_allocations``, others whose route is one of
+    ``PAGE_ROUTES`` by ``allocations_of_pages``, without revenue and capital and with the year ``unknown`` where there is
+    none; the rest not at all. An id that is there already stays as it is."""
+    is_sheet = F.coalesce(F.col("ext").isin(*SHEETS), F.lit(False))
+    sheets, paged = docs.where(is_sheet), docs.where(~is_sheet & F.col("route").isin(*PAGE_ROUTES)).withColumn("fy", F.coalesce("fy", F.lit("unknown")))
+    of = lambda rows, own: rows.join(own.select("doc_id"), "doc_id", "left_semi")
+    none = F.lit(None).cast("double")
+    from_pages = allocations_of_pages(of(lines, paged), of(cells, paged), paged, canonical, headers, keywords).withColumns({"revenue": none, "capital": none})
+    found = scheme_allocations(of(grid, sheets), sheets, canonical).unionByName(from_pages).select(existing.columns)
+    return existing.unionByName(found.join(existing.select("id"), "id", "left_anti").select(existing.columns))
+
+
 def scheme_timeseries(grid: DataFrame, docs: DataFrame, keywords: list[str]) -> DataFrame:
     """fiscal_year, actual, be, re, re_vs_be, actual_vs_be: the first row of each document that a keyword names, of each
     figure its latest reading."""

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import fiscal
 from ..operators import jobs, wages
+from ..operators.staging import staged
 from .bindings import table
-from .job_queries import CENTRAL, RECEIPTS, receipt_lines
+from .job_queries import CENTRAL, RECEIPTS, canonical, estimates_sql, grid, label_sql, receipt_lines, sheets
 from .registry import query
 
 PAGES = """l AS (SELECT l_orderkey AS doc_id, l_linenumber % 3 AS page_no, l_linenumber AS line_no, p_name, CAST(CAST(l_quantity AS INT) AS DOUBLE) AS total FROM lineitem JOIN part ON l_partkey = p_partkey),
@@ -16,21 +17,53 @@ rows_ AS (SELECT doc_id, page_no, line_no, p_name, total + CASE WHEN page_no = 1
 y AS (SELECT o_orderkey AS doc_id, CASE WHEN month(o_orderdate) < 4 THEN year(o_orderdate) - 1 ELSE year(o_orderdate) END AS y FROM orders)"""
 
 
-@query("job_02_pages", f"""WITH {PAGES}, f AS (SELECT doc_id, scheme, y || '-' || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0') AS fy, arg_min(total, (page_no, line_no, p_name, total)) AS total FROM rows_ JOIN k USING (p_name) JOIN y USING (doc_id)
-  WHERE (doc_id, page_no) IN (SELECT (doc_id, page_no) FROM l WHERE contains(p_name, 'red')) GROUP BY ALL)
-SELECT substr(sha256(concat_ws('|', doc_id, scheme, fy, 'be')), 1, 16) AS id, doc_id, scheme, 'be' AS col_type, fy AS fiscal_year, total FROM f""")
-def job_02_pages(spark, sf_dir):
-    """Schemes on pages that name a colour: of every order's second page the table, of others the lines."""
+PAGED = """found AS (SELECT doc_id, scheme, y || '-' || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0') AS fy, arg_min(total, (page_no, line_no, p_name, total)) AS total FROM rows_ JOIN k USING (p_name) JOIN y USING (doc_id)
+  WHERE (doc_id, page_no) IN (SELECT (doc_id, page_no) FROM l WHERE contains(p_name, 'red')) GROUP BY ALL)"""
+HEADERS, KEYWORDS = ["Red"], ["RING", "rod"]
+
+
+def pages(spark, sf_dir):
+    """lines, table rows and known names of orders as documents: the second page of each holds a table."""
     part = table(spark, sf_dir, "part")
     rows = table(spark, sf_dir, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    amount = F.col("l_quantity").cast("int")
-    own = rows.select(F.col("l_orderkey").alias("doc_id"), (F.col("l_linenumber") % 3).alias("page_no"), F.col("l_linenumber").alias("line_no"), F.concat_ws("  ", "p_name", amount.cast("string")).alias("line"), "p_name", amount.alias("amount"))
+    amount, named = F.col("l_quantity").cast("int"), F.concat(F.lit("S "), "p_name")
+    own = rows.select(F.col("l_orderkey").alias("doc_id"), (F.col("l_linenumber") % 3).alias("page_no"), F.col("l_linenumber").alias("line_no"), F.concat_ws("  ", named, amount.cast("string")).alias("line"), named.alias("name"), amount.alias("amount"))
     text = F.format_string("%,d.50", F.col("amount") + 1000)
-    cells = F.array(F.concat(F.lit(" "), "p_name"), F.lit("9"), F.lit(None).cast("string"), text, F.lit("nan"), F.lit(" "))
+    cells = F.array(F.concat(F.lit(" "), "name"), F.lit("9"), F.lit(None).cast("string"), text, F.lit("nan"), F.lit(" "))
     tables = own.where("page_no = 1").select("doc_id", "page_no", F.lit(0).alias("table_no"), F.col("line_no").alias("row_no"), cells.alias("cells"))
-    names = part.where("not contains(p_name, 'old')").groupBy(F.col("p_name").alias("source_name")).agg(F.min("p_brand").alias("canonical"))
-    docs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), fiscal.fy_of_date(F.col("o_orderdate")).alias("fy"))
-    return jobs.allocations_of_pages(own.select("doc_id", "page_no", "line_no", "line"), tables, docs, names, ["Red"], ["RING", "rod"])
+    names = part.where("not contains(p_name, 'old')").groupBy(named.alias("source_name")).agg(F.min("p_brand").alias("canonical"))
+    return own.select("doc_id", "page_no", "line_no", "line"), tables, names
+
+
+def order_years(spark, sf_dir):
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), fiscal.fy_of_date(F.col("o_orderdate")).alias("fy"))
+
+
+@query("job_02_pages", f"WITH {PAGES}, {PAGED} SELECT substr(sha256(concat_ws('|', doc_id, scheme, fy, 'be')), 1, 16) AS id, doc_id, scheme, 'be' AS col_type, fy AS fiscal_year, total FROM found")
+def job_02_pages(spark, sf_dir):
+    """Schemes on pages that name a colour: of every order's second page the table, of others the lines."""
+    lines, tables, names = pages(spark, sf_dir)
+    return jobs.allocations_of_pages(lines, tables, order_years(spark, sf_dir), names, HEADERS, KEYWORDS)
+
+
+# sheets d0 to d39, every third of them no sheet by its extension; orders by their route; a fourth of the sheets is known already
+@query("job_01_snapshot", f"""WITH {estimates_sql('2, 3')}, {PAGES}, {PAGED}, s AS (SELECT substr(sha256(concat_ws('|', doc_id, 'icds', {label_sql('y')}, col_type)), 1, 16) AS id, doc_id, 'icds' AS scheme, col_type, {label_sql('y')} AS fiscal_year, revenue, capital, total, CAST(substr(doc_id, 2) AS INT) AS n FROM est)
+SELECT id, doc_id, scheme, col_type, fiscal_year, CASE WHEN n % 4 <> 0 THEN revenue END AS revenue, CASE WHEN n % 4 <> 0 THEN capital END AS capital, CASE WHEN n % 4 = 0 THEN -1 ELSE total END AS total FROM s WHERE n % 3 <> 0 OR n % 4 = 0
+UNION ALL SELECT substr(sha256(concat_ws('|', doc_id, scheme, fy_, 'be')), 1, 16), CAST(doc_id AS VARCHAR), scheme, 'be', fy_, NULL, NULL, total FROM (SELECT *, CASE WHEN doc_id % 7 = 0 THEN 'unknown' ELSE fy END AS fy_ FROM found WHERE doc_id % 5 < 3)""")
+def job_01_snapshot(spark, sf_dir):
+    """A snapshot of allocations with what sheets and pages add to it."""
+    text = lambda df: df.withColumn("doc_id", F.col("doc_id").cast("string"))
+    lines, tables, names = pages(spark, sf_dir)
+    key = F.col("doc_id")
+    kind = F.substring(key, 2, 9).cast("int")
+    sheet = sheets(spark, sf_dir).select("doc_id", F.when(kind % 3 == 0, "csv").when(kind % 3 == 1, "xls").otherwise("xlsx").alias("ext"), F.lit("xls").alias("route"), "fy")
+    route = F.element_at(F.array(*map(F.lit, ["text_pdf", "table_pdf", "scanned_pdf", "unknown", "devanagari_pdf"])), (key % 5 + 1).cast("int"))
+    paged = order_years(spark, sf_dir).select("doc_id", F.lit("pdf").alias("ext"), route.alias("route"), F.when(key % 7 != 0, F.col("fy")).alias("fy"))
+    own = grid(spark, sf_dir)
+    none = F.lit(None).cast("double")
+    # written first: with the filter pushed into it, planning took a minute
+    known = staged(jobs.scheme_allocations(own, sheets(spark, sf_dir), canonical(spark)), "known").where(kind % 4 == 0).withColumns({"revenue": none, "capital": none, "total": F.lit(-1.0)})
+    return jobs.extracted_allocations(known, sheet.unionByName(text(paged)), own, text(lines), text(tables), names.unionByName(canonical(spark)), HEADERS, KEYWORDS)
 
 
 @query("job_20_documents", """WITH d AS (SELECT doc_id, len(string_split(coalesce(text, ''), chr(10))) AS last_line FROM documents)

@@ -75,3 +75,22 @@ def test_scheduling_status(spark):
     ]
     more = spark.createDataFrame([("goa", "asha_worker", "excluded", 2020)], "state string, employment string, status string, year int")
     assert [(r.employment, r.year) for r in wages.scheduling_status(states.where("state = 'Goa'"), more).collect()] == [("asha_worker", 2020)]
+
+
+def test_extracted_allocations(spark):
+    """A snapshot's rows stay, sheets and pages are told apart by extension and route, other documents add nothing."""
+    sheet = [None] * 36
+    sheet[5], sheet[29], sheet[31], sheet[33] = "icds", "1", "2", "3"
+    grid = spark.createDataFrame([("s", 1, sheet), ("c", 1, sheet)], "doc_id string, row_no int, cells array<string>")
+    lines = spark.createDataFrame([(d, 1, n, text) for d in "pqs" for n, text in enumerate(["child welfare", "icds 5"])], "doc_id string, page_no int, line_no int, line string")
+    cells = spark.createDataFrame([], "doc_id string, page_no int, table_no int, row_no int, cells array<string>")
+    docs = spark.createDataFrame([("s", "xls", None, "2024-25"), ("c", "csv", "xls", "2024-25"), ("p", "pdf", "text_pdf", None), ("q", "pdf", "devanagari_pdf", "2024-25"), ("r", None, None, None)], "doc_id string, ext string, route string, fy string")
+    names = spark.createDataFrame([("icds", "ICDS")], "source_name string, canonical string")
+    schema = "id string, doc_id string, scheme string, col_type string, fiscal_year string, revenue double, capital double, total double"
+    run = lambda rows: jobs.extracted_allocations(spark.createDataFrame(rows, schema), docs, grid, lines, cells, names, ["child welfare"], ["icds"]).collect()
+    fresh = run([])
+    assert {(r.doc_id, r.fiscal_year, r.col_type, r.revenue, r.total) for r in fresh if r.total is not None} == {("s", "2024-25", "be", 1.0, 3.0), ("p", "unknown", "be", None, 5.0)}
+    assert {r.doc_id for r in fresh} == {"s", "p"}
+    first = next(r for r in fresh if r.doc_id == "p")
+    again = run([(first.id, "p", "ICDS", "be", "unknown", 9.0, 9.0, 9.0), ("x", "z", "Z", "be", "2020-21", None, None, None)])
+    assert len(again) == len(fresh) + 1 and [r.total for r in again if r.id == first.id] == [9.0]

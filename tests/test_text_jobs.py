@@ -80,7 +80,7 @@ def test_scheduling_status(spark):
 def test_extracted_allocations(spark):
     """A snapshot's rows stay, sheets and pages are told apart by extension and route, other documents add nothing."""
     sheet = [None] * 36
-    sheet[5], sheet[29], sheet[31], sheet[33] = "icds", "1", "2", "3"
+    sheet[5], sheet[31], sheet[33], sheet[35] = "icds", "1", "2", "3"
     grid = spark.createDataFrame([("s", 1, sheet), ("c", 1, sheet)], "doc_id string, row_no int, cells array<string>")
     lines = spark.createDataFrame([(d, 1, n, text) for d in "pqs" for n, text in enumerate(["child welfare", "icds 5"])], "doc_id string, page_no int, line_no int, line string")
     cells = spark.createDataFrame([], "doc_id string, page_no int, table_no int, row_no int, cells array<string>")

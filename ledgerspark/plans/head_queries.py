@@ -42,12 +42,13 @@ UNION ALL SELECT a.code, 'booked', k.fy, NULL, k.amount, NULL FROM mine a JOIN b
 BOOKED = "booked AS (SELECT major || '-' || sub || '-' || minor AS code, fy, CAST(sum(amount) AS DOUBLE) AS amount FROM lines WHERE col_type = 'be' GROUP BY 1, 2)"
 
 
-@query("job_15_details", f"WITH {HEADS}, {FLAT}, {NOTED}, {BOOKED}, hits AS (SELECT code FROM heads WHERE contains(label, 'rod') AND contains(code, '210') AND contains(code, '003')), {sections('hits')}")
+@query("job_15_details", f"WITH {HEADS}, {FLAT}, {NOTED}, {BOOKED}, hits AS (SELECT code FROM heads WHERE contains(label, 'rod') AND (contains(code, '210') AND contains(code, '003') OR kind = 'major' AND contains(code, '21'))), {sections('hits')}")
 def job_15_details(spark, sf_dir):
-    """All that is known of the heads that a subject search finds."""
+    """All that is known of the heads that a search among all heads and one among majors find."""
     chart = staged(heads(spark, sf_dir), "heads")
     booked = budget_lines(spark, sf_dir).where("col_type = 'be'").groupBy(F.concat_ws("-", "major", "sub", "minor").alias("code"), "fy").agg(F.sum("amount").alias("amount"))
-    return hd.head_details(chart, numbered_notes(spark, sf_dir), flat_events(spark, sf_dir), booked, rel.subject_hits(chart, "rod, 210 003"))
+    asked = rel.subject_hits(chart, "rod, 210 003").unionByName(rel.subject_hits(chart.where("kind = 'major'"), "rod, 21"))
+    return hd.head_details(chart, numbered_notes(spark, sf_dir), flat_events(spark, sf_dir), booked, asked)
 
 
 @query("job_14_payload", f"""WITH {HEADS}, {EVENTS}, {NOTED}, ch AS (SELECT 'CS ' || (event_id // 8) AS slip, CAST(ts AS DATE) AS date, event_id, action, code, label, CASE WHEN action = 'RENAME' THEN 'old ' || label END AS old_label FROM slips),
@@ -66,15 +67,16 @@ def job_14_payload(spark, sf_dir):
     return hd.browser_payload(staged(heads(spark, sf_dir), "heads"), numbered_notes(spark, sf_dir), changes)
 
 
-# every label of table rows, as they stand: many codes stand with several labels, some without a label or a parent
-CHARTS = f"""{HEAD_ROWS}, all_ AS (SELECT code, parent_code, kind, CASE WHEN n % 101 = 0 THEN ' ' WHEN n % 7 = 0 THEN 'other' ELSE kind END AS label FROM hc),
+# every head of table rows twice: some with another label the second time, some without a label, so that those below lack a parent
+CHARTS = f"""{HEAD_ROWS}, all_ AS (SELECT code, parent_code, kind, CASE WHEN n % 101 = 0 THEN ' ' WHEN n % 7 = 0 AND k = 1 THEN 'other' ELSE kind END AS label FROM hc, (VALUES (0), (1)) twice(k)),
 full_ AS (SELECT * FROM all_ WHERE label <> ' '), once AS (SELECT code, count(DISTINCT (kind, coalesce(parent_code, ''), label)) AS v, any_value(kind) AS kind, any_value(parent_code) AS parent_code, any_value(label) AS label FROM full_ GROUP BY 1)"""
 
 
 def chart_rows(spark, sf_dir):
     n = F.col("row_no")
-    label = F.when(n % 101 == 0, " ").when(n % 7 == 0, "other").otherwise(F.col("kind"))
-    return jobs.labelled_heads(head_rows(spark, sf_dir)).select("code", "parent_code", "kind", label.alias("label"))
+    label = F.when(n % 101 == 0, " ").when((n % 7 == 0) & (F.col("k") == 1), "other").otherwise(F.col("kind"))
+    twice = F.explode(F.array(F.lit(0), F.lit(1))).alias("k")
+    return jobs.labelled_heads(head_rows(spark, sf_dir)).select("*", twice).select("code", "parent_code", "kind", label.alias("label"))
 
 
 @query("job_10_rejects", f"WITH {CHARTS} SELECT DISTINCT code, 'incomplete' AS reason FROM all_ WHERE label = ' ' UNION ALL SELECT code, 'conflict' FROM once WHERE v > 1 UNION ALL SELECT code, 'missing parent' FROM once WHERE v = 1 AND parent_code IS NOT NULL AND parent_code NOT IN (SELECT code FROM once)")

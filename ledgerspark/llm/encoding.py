@@ -4,16 +4,23 @@ from __future__ import annotations
 
 import json
 import re
+from codecs import charmap_decode
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from pathlib import Path
 from struct import pack
+from typing import TYPE_CHECKING
+
+import numpy as np
+
+if TYPE_CHECKING:
+    import pyarrow as pa
 
 #: Bytes of words and ids, with what a dictionary takes for them, that a worker remembers, about; then it starts over. What
 #: one slice of texts adds comes on top.
 REMEMBERED, ENTRY = 160_000_000, 200
-#: Letters below this one have the same class and case in every Unicode version in use, and don't combine.
-PLAIN = "ɐ"
+#: Letters below U+0250 have the same class and case in every Unicode version in use, and don't combine. This finds others.
+UNUSUAL = re.compile("[ɐ-\U0010ffff]").search
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -31,6 +38,8 @@ class WordEncoder:
     vocabularies (the space starts the next piece); at white space, for vocabularies that drop it. Pieces are
     remembered. A new piece of common letters is cut further as the vocabulary's own pattern says and its parts go to
     the library's BPE model; any other piece goes to the whole tokenizer.
+
+    Where white space is dropped, a part that stands alone as a word is its own only part, so both share one memory.
     """
 
     def __init__(self, path: str, limit: int = REMEMBERED):
@@ -48,54 +57,87 @@ class WordEncoder:
         self.cut_ascii = re.compile(ascii_only, re.ASCII).findall
         assert all("<|" in t["content"] for t in told["added_tokens"])
         self.table = {b: c for b, c in byte_alphabet().items() if chr(b) != c}
-        self.space = self.table[32]
+        self.alphabet = "".join(self.table.get(b, chr(b)) for b in range(256))
         self.model, self.limit = self.tokenizer.model, limit
         self.parts: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {} if self.spaced else self.parts
         self.heads: dict[str, bytes] = {}
         #: Words that end in white space, and the empty one.
         self.ends = {""}
         self.held = 0
 
     def part(self, piece: str) -> bytes:
-        """Ids of what the pattern yields as one."""
-        if piece.isascii() and piece.isprintable():
-            shown = piece.replace(" ", self.space)
-        else:
-            shown = piece.encode().decode("latin-1").translate(self.table)
-        ids = [t.id for t in self.model.tokenize(shown)]
-        return pack(f"<{len(ids)}I", *ids)
+        """Ids of what the pattern yields as one, which are remembered."""
+        ids = [t.id for t in self.model.tokenize(charmap_decode(piece.encode(), "strict", self.alphabet)[0])]
+        raw = self.parts[piece] = pack(f"<{len(ids)}I", *ids)
+        self.held += ENTRY + 2 * len(piece)
+        return raw
 
     def new_word(self, word: str) -> bytes:
-        ascii_only = word.isascii()
-        if not ascii_only and max(word) >= PLAIN or "<|" in word or not self.spaced and not word.isprintable():
+        ascii_only, known, shown = word.isascii(), self.parts, word
+        unusual = not ascii_only and UNUSUAL(word)
+        if not self.spaced:
+            shown = word.lower()
+            if not unusual and shown.isalpha():
+                return known.get(shown) or self.part(shown)
+        if unusual or "<|" in word or not self.spaced and not word.isprintable():
             ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             return pack(f"<{len(ids)}I", *ids)
-        pieces = (self.cut_ascii if ascii_only else self.cut)(word if self.spaced else word.lower())
-        known, out = self.parts, b""
-        for piece in pieces:
-            ids = known.get(piece)
-            if ids is None:
-                ids = known[piece] = self.part(piece)
-                self.held += ENTRY + 2 * len(piece)
-            out += ids
+        out = b""
+        for piece in (self.cut_ascii if ascii_only else self.cut)(shown):
+            out += known.get(piece) or self.part(piece)
         return out
 
     def remember(self, known: dict[str, bytes], words: Iterable[list[str]], before: str = "") -> dict[str, bytes]:
         new = set().union(*words).difference(known)
-        known.update({w: self.new_word(before + w) for w in new})
-        self.held += sum([ENTRY + 2 * len(w) for w in new])
+        ids = {w: self.new_word(before + w) for w in new}
+        self.held += sum([ENTRY + 2 * len(w) for w in ids if w not in known])
+        known.update(ids)
         self.ends.update([w for w in new if w[-1:].isspace()])
         return known
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+    def start_over(self) -> None:
+        """Forget all, if it's too much by now."""
         if self.held > self.limit:
             self.words.clear()
             self.heads.clear()
             self.parts.clear()
             self.ends = {""}
             self.held = 0
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another (unsigned 32-bit), and how many each text has; null is an empty text.
+
+        Where white space is dropped, Arrow cuts the texts and numbers their distinct words, so each is looked up once;
+        the numbers then pick its ids as often as it occurs.
+        """
+        import pyarrow.compute as pc
+
+        texts = texts.fill_null("")
+        if self.spaced:
+            raws = self.encode(texts.to_pylist())
+            return np.frombuffer(b"".join(raws), "<u4"), np.array([len(r) // 4 for r in raws], np.int64)
+        self.start_over()
+        cut = pc.ascii_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        words, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        known, new = self.words, self.new_word
+        raws = list(map(known.get, words))
+        for k in [k for k, raw in enumerate(raws) if raw is None]:
+            raws[k] = raw = new(word := words[k])
+            if word not in known:
+                known[word] = raw
+                self.held += ENTRY + 2 * len(word)
+        sizes = np.fromiter(map(len, raws), np.int64, len(raws)) // 4
+        size = sizes[code]
+        ends = np.r_[0, np.cumsum(size)]
+        at = np.repeat((np.cumsum(sizes) - sizes)[code] - ends[:-1], size)
+        at += np.arange(len(at))
+        return np.frombuffer(b"".join(raws), "<u4")[at], np.diff(ends[cut.offsets.to_numpy()])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        self.start_over()
         if not self.spaced:
             cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
             get = self.remember(self.words, cut).__getitem__
@@ -138,6 +180,21 @@ def in_slices(texts: list, rows: int = 256, chars: int = 4_000_000) -> Iterator[
         yield part
 
 
+def encoded_columns(path: str, texts: pa.Array, rows: int = 4096, size: int = 4_000_000) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Runs of at most ``rows`` texts with about ``size`` bytes, or one longer text: the first one's position, the ids of
+    all, and how many each has."""
+    import pyarrow.compute as pc
+
+    known = encoder(path)
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        most = np.searchsorted(ends, (ends[first - 1] if first else 0) + size, "right")
+        last = max(first + 1, min(int(most), first + rows))
+        yield first, *known.encode_column(texts.slice(first, last - first))
+        first = last
+
+
 def encoded(path: str, texts: Iterable[str | None]) -> Iterator[bytes]:
     """Ids of each text, null as an empty one, in order."""
     known = encoder(path)

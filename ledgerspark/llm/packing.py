@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from .common import bind, documents, staged, text_or_empty
-from .encoding import encoded
+from .encoding import encoded_columns
 
 WORD_BPE = "word_bpe_49k.json"
 WINDOW, END = 2048, 1
@@ -22,6 +23,8 @@ PIECE = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens"]
 TRIPLE_LENGTHS, SWEEPS, SETTLED = 96, 500, 0.01
 #: Bytes of the parts' bases (a long for each length) up to which they are broadcast; beyond, parts are joined by a shuffle.
 BROADCAST = 64 << 20
+#: Bytes of ids that a batch of pieces holds at most, or one piece.
+BATCH = 8_000_000
 
 
 def combinations(counts: np.ndarray, window: int = WINDOW) -> list[tuple[int, ...]]:
@@ -113,6 +116,23 @@ class Places:
         return sequence + (rank - at) // times, offset + (rank - at) % times * length
 
 
+def windows(sizes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document (its position), start in it and length of each piece of documents of these sizes (1 at least), in order."""
+    n = -(-sizes // window)
+    doc = np.repeat(np.arange(len(sizes)), n)
+    start = window * (np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n))
+    return doc, start, np.minimum(window, sizes[doc] - start)
+
+
+def occurrences(values: np.ndarray) -> np.ndarray:
+    """How often each value stands before, in an array of one value at least."""
+    order = np.argsort(values, kind="stable")
+    at, new = np.arange(len(values)), np.r_[True, np.diff(values[order]) != 0]
+    out = np.empty(len(values), np.int64)
+    out[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    return out
+
+
 def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = END) -> DataFrame:
     """Documents encoded, ended and cut: as many whole windows as there are, then the remainder. doc_id, start, length,
     ids (binary, little-endian unsigned 32-bit), ids_crc32, doc_tokens, and the piece's number among those of its length
@@ -124,28 +144,25 @@ def pieces(docs: DataFrame, vocabulary: str, window: int = WINDOW, end: int = EN
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, seen = TaskContext.get().partitionId(), {}
+        part, seen = TaskContext.get().partitionId(), np.zeros(window + 1, np.int64)
         names = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "part", "number"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
-
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
-
+        most = max(1, BATCH // (4 * window))
         for batch in batches:
-            rows, size = [], 0
-            for doc_id, raw in zip(batch.column(0).to_pylist(), encoded(vocabulary, batch.column(1).to_pylist()), strict=True):
-                raw += end.to_bytes(4, "little")
-                for at in range(0, len(raw), 4 * window):
-                    own = raw[at : at + 4 * window]
-                    n = len(own) // 4
-                    rows.append((doc_id, at // 4, n, own, zlib.crc32(own), len(raw) // 4, part, seen.get(n, 0)))
-                    seen[n] = seen.get(n, 0) + 1
-                    size += len(own)
-                if size > 8_000_000:
-                    yield batch_of(rows)
-                    rows, size = [], 0
-            if rows:
-                yield batch_of(rows)
+            for first, ids, sizes in encoded_columns(vocabulary, batch.column(1)):
+                ids, sizes = np.insert(ids, np.cumsum(sizes), end), sizes + 1
+                doc, start, length = windows(sizes, window)
+                number = seen[length] + occurrences(length)
+                seen += np.bincount(length, minlength=window + 1)
+                ends = np.cumsum(length)
+                for k in range(0, len(doc), most):
+                    own, here, size = doc[k : k + most], ends[k : k + most], length[k : k + most]
+                    raw = ids[here[0] - size[0] : here[-1]].astype("<u4").tobytes()
+                    offsets = 4 * np.r_[0, np.cumsum(size)]
+                    view, bounds = memoryview(raw), offsets.tolist()
+                    crc = [zlib.crc32(view[a:b]) for a, b in pairwise(bounds)]
+                    binary = pa.Array.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)])
+                    columns = [batch.column(0).take(pa.array(first + own)), start[k : k + most], size, binary, pa.array(crc, pa.int64()), sizes[own], np.full(len(own), part, np.int32), number[k : k + most]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(cut, "doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, part int, number long")

@@ -3,12 +3,13 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from ledgerspark.llm.encoding import WordEncoder
+from ledgerspark.llm.encoding import WordEncoder, encoded_columns
 
 NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 KNOWN = {n: (WordEncoder(public_tokenizers.path(n)), Tokenizer.from_file(public_tokenizers.path(n))) for n in NAMES}
@@ -41,3 +42,38 @@ def test_long_text_and_small_memory(name):
 @given(text=st.text(max_size=40))
 def test_any_text(name, text):
     same(name, [text])
+
+
+def test_unusual_parts_of_arrow_texts():
+    for name, (ours, library) in KNOWN.items():
+        rng = random.Random(11)
+        texts = [None, "", " ", "\x0b \x0c", *("".join(rng.choice([*PARTS, "\x0b", "\x0c", "ẞ", "K", "ŉ"]) for _ in range(rng.randint(1, 14))) for _ in range(2000)), None]
+        ids, sizes = ours.encode_column(pa.array(texts, pa.string()))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w], name
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_runs_of_arrow_texts(name):
+    path = public_tokenizers.path(name)
+    texts = pa.array(["skipped", "a b", None, "x " * 50, "", "last"], pa.string()).slice(1)
+    runs = [(first, sizes.tolist()) for first, _, sizes in encoded_columns(path, texts, rows=2, size=20)]
+    assert [first for first, _ in runs] == [0, 2, 3]
+    assert sum((sizes for _, sizes in runs), []) == [len(KNOWN[name][1].encode(t or "", add_special_tokens=False).ids) for t in texts.to_pylist()]
+    assert list(encoded_columns(path, pa.array([], pa.string()))) == []
+
+
+def test_each_distinct_word_of_a_run_is_looked_up_once():
+    ours = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    ours.words = ours.parts = Counted()
+    ids, sizes = ours.encode_column(pa.array(["the cat and the dog " * 500, "the dog"]))
+    # five words, the empty one among them, each once more as a part at most
+    assert Counted.asked <= 10 and len(sizes) == 2 and len(ids) == sizes.sum()

@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from ledgerspark.llm.components import connected_components
 from ledgerspark.llm.labels import labelled
-from ledgerspark.llm.packing import combinations, op9_packing, pack, plan, repeats
+from ledgerspark.llm.packing import combinations, occurrences, op9_packing, pack, pieces, plan, repeats, windows
 from ledgerspark.llm.quality_model import WIDTH, Kernel, fitted, kept_by_model, op8_quality_model, scored, summed
 from ledgerspark.llm.simhash import block_masks, components, deduplicated, fingerprint_words, near_duplicates, op10_simhash
 from ledgerspark.llm.topk import op6_top_k, top_k
@@ -92,6 +92,22 @@ def test_packing(spark, odd):
     assert op9_packing(spark, SF).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
+def test_pieces_of_arrays(spark):
+    assert [x.tolist() for x in windows(np.array([1, 9, 4, 8]), 4)] == [[0, 1, 1, 1, 2, 3, 3], [0, 0, 4, 8, 0, 0, 4], [1, 4, 4, 1, 4, 4, 4]]
+    assert occurrences(np.array([5, 3, 5, 5, 3, 9])).tolist() == [0, 0, 1, 2, 1, 0]
+    # one document of more than a batch of pieces, among others and a null id
+    docs = [(7, "a b"), (1, "a " * 2_200_000 + "end"), (None, "c"), (3, None)]
+    got = pieces(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), WORD).collect()
+    library = Tokenizer.from_file(WORD)
+    a, b, c, last = (library.encode(w, add_special_tokens=False).ids for w in ("a", "b", "c", "end"))
+    ids = {7: a + b + [1], 1: a * 2_200_000 + last + [1], None: c + [1], 3: [1]}
+    assert [(r.doc_id, r.start) for r in got] == [(d, at) for d, _ in docs for at in range(0, len(ids[d]), 2048)]
+    for r in got:
+        own = np.array(ids[r.doc_id][r.start : r.start + 2048], "<u4").tobytes()
+        assert (bytes(r.ids), r.length, r.ids_crc32, r.doc_tokens) == (own, len(own) // 4, zlib.crc32(own), len(ids[r.doc_id]))
+    assert [r.number for r in got] == occurrences(np.array([r.length for r in got])).tolist()
+
+
 def test_plan_uses_every_length():
     rng = np.random.default_rng(3)
     for size in (0, 1, 50, 20_000):

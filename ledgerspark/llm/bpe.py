@@ -99,7 +99,7 @@ class BatchEncoder(WordEncoder):
         word = word.lower()
         return (self.cut_ascii if word.isascii() else self.cut)(word)
 
-    def remember(self, known, words, before=""):
+    def remember(self, known, words):
         new = list(set().union(*words).difference(known))
         cut = [[(p, True) if p in self.added else (q, False) for p in self.cut_added(w) if p for q in ([p] if p in self.added else self.pieces(p))] if "<|" in w else [(q, False) for q in self.pieces(w)] for w in new]
         fresh = list({q for pieces in cut for q, added in pieces if not added}.difference(self.parts))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, shared_dir, staged, text_or_empty
-from .encoding import encoded
+from .encoding import encoded_columns
 
 NULL_ID = -(2**63)
 BYTE_BPE = "byte_bpe_50k.json"
@@ -57,25 +57,33 @@ def width(vocabulary: str, end: int = END) -> str:
 class Part:
     """Writes one part; ids go out as they come, offsets and document ids (16 bytes a document) at the end."""
 
-    def __init__(self, uri: str, number: int, kind: str):
-        self.kind = kind
+    def __init__(self, uri: str, number: int, kind: str, end: int):
+        self.kind, self.end = kind, end
         self.files, folder = store(uri)
         self.files.create_dir(folder, recursive=True)
         self.path, self.own = f"{folder}/{number:06d}", uuid.uuid4().hex
         self.out = self.files.open_output_stream(f"{self.path}.bin.{self.own}")
-        self.offsets, self.ids = [0], []
-
-    def add(self, doc_id: int | None, raw: bytes) -> None:
-        self.out.write(np.frombuffer(raw, "<u4").astype(self.kind).tobytes())
-        self.offsets.append(self.offsets[-1] + len(raw) // 4)
-        self.ids.append(NULL_ID if doc_id is None else doc_id)
+        self.offsets, self.docs, self.n_ids = [np.zeros(1, "<u8")], [], 0
+
+    def add(self, docs: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """A run of documents: their ids one after another, and how many each has. Each gets ``end``."""
+        ends = np.cumsum(sizes + 1)
+        own = np.ones(len(ids) + len(sizes), bool)
+        own[ends - 1] = False
+        out = np.full(len(own), self.end, self.kind)
+        out[own] = ids
+        self.out.write(out.tobytes())
+        self.offsets.append((self.n_ids + ends).astype("<u8"))
+        self.docs.append(docs)
+        self.n_ids += len(out)
 
     def close(self) -> tuple[int, int]:
         self.out.close()
         self.files.move(f"{self.path}.bin.{self.own}", f"{self.path}.bin")
-        put(self.files, f"{self.path}.off", np.array(self.offsets, "<u8").tobytes())
-        put(self.files, f"{self.path}.doc", np.array(self.ids, "<i8").tobytes())
-        return len(self.ids), self.offsets[-1]
+        put(self.files, f"{self.path}.off", np.concatenate(self.offsets).tobytes())
+        docs = np.concatenate(self.docs).astype("<i8")
+        put(self.files, f"{self.path}.doc", docs.tobytes())
+        return len(docs), self.n_ids
 
 
 def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end: int = END) -> DataFrame:
@@ -94,10 +102,11 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end: int = END)
 
         part = None
         for batch in batches:
-            for doc_id, raw in zip(batch.column(0).to_pylist(), encoded(vocabulary, batch.column(1).to_pylist()), strict=True):
+            docs = batch.column(0).fill_null(NULL_ID).to_numpy()
+            for first, ids, sizes in encoded_columns(vocabulary, batch.column(1)):
                 if part is None:
-                    part = Part(folder, number := TaskContext.get().partitionId(), kind)
-                part.add(doc_id, raw + end.to_bytes(4, "little"))
+                    part = Part(folder, number := TaskContext.get().partitionId(), kind, end)
+                part.add(docs[first : first + len(sizes)], ids, sizes)
         if part is not None:
             n_docs, n_ids = part.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([number], pa.int32()), "n_docs": [n_docs], "n_ids": [n_ids]})

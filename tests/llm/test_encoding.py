@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from ledgerspark.llm.encoding import WordEncoder, encoded_columns
+from ledgerspark.llm.encoding import WordEncoder, encoded_columns, spaced_pieces
 
 NAMES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
 KNOWN = {n: (WordEncoder(public_tokenizers.path(n)), Tokenizer.from_file(public_tokenizers.path(n))) for n in NAMES}
@@ -77,3 +77,37 @@ def test_each_distinct_word_of_a_run_is_looked_up_once():
     ids, sizes = ours.encode_column(pa.array(["the cat and the dog " * 500, "the dog"]))
     # five words, the empty one among them, each once more as a part at most
     assert Counted.asked <= 10 and len(sizes) == 2 and len(ids) == sizes.sum()
+
+
+def test_each_distinct_piece_of_a_run_is_looked_up_once_for_byte_vocabularies():
+    ours = WordEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    ours.words = ours.parts = Counted()
+    ids, sizes = ours.encode_column(pa.array(["the cat and the dog, " * 500, "the dog"]))
+    # "the", " the", " cat", " and", " dog", "," and the last space: each again once it is known, and as a part at most
+    assert Counted.asked <= 21 and len(sizes) == 2 and len(ids) == sizes.sum()
+
+
+def test_pieces_of_byte_vocabularies():
+    texts = pa.array(["skipped", "a bc, d\ne", "", " x  y\r\nz", "ä b\u3000 c\xa0 d ", "!?it's.", "", "日 本"]).slice(1)
+    pieces, bounds = spaced_pieces(texts)
+    got = [pieces[a:z].to_pylist() for a, z in zip(bounds, bounds[1:], strict=False)]
+    assert got == [["a", " bc", ",", " d", "\ne"], [], [" x", "  y\r\nz"], ["ä", " b\u3000 c\xa0 d", " "], ["!?it's", "."], [], ["日", " 本"]]
+    assert [len(spaced_pieces(pa.array(none, pa.string()))[0]) for none in ([], ["", ""])] == [0, 0]
+
+
+def test_any_white_space_beside_spaces_and_marks():
+    white = [chr(c) for c in range(0x10000) if chr(c).isspace() or c in (0x180E, 0x200B, 0xFEFF)]
+    for name in NAMES:
+        same(name, [f"{a}{w}{b}{w}{c}" for w in white for a in ("x", "é", "x.", " ") for b in (" ", "\n", "", ",") for c in ("y", ";", "'s", " z")])

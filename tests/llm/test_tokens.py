@@ -8,7 +8,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from ledgerspark.llm.bpe import batch_encoder, encode_decode, op4_bpe
-from ledgerspark.llm.tokenfiles import op2_token_files, read_tokens, write_tokens
+from ledgerspark.llm.tokenfiles import NULL_ID, Part, mapped, op2_token_files, read_tokens, store, write_tokens
 
 SF = "/root/testdata/sf0.001"
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -41,6 +41,16 @@ def test_token_files_of_odd_rows(spark, odd, tmp_path):
     assert read_tokens(write_tokens(empty, str(tmp_path / "b"), BYTE), str(tmp_path / "b")).count() == 0
 
 
+def test_runs_of_documents_are_added_to_a_part(tmp_path):
+    part = Part(str(tmp_path / "p"), 3, "<u2", 2)
+    part.add(np.array([NULL_ID, 4, 5]), np.array([7, 8, 9], "<u4"), np.array([0, 3, 0]))
+    part.add(np.array([6]), np.array([50255], "<u4"), np.array([1]))
+    assert part.close() == (4, 8)
+    files, folder = store(str(tmp_path / "p"))
+    got = [mapped(files, f"{folder}/000003.{x}", kind).tolist() for x, kind in (("bin", "<u2"), ("off", "<u8"), ("doc", "<i8"))]
+    assert got == [[2, 7, 8, 9, 2, 2, 50255, 2], [0, 1, 5, 6, 8], [NULL_ID, 4, 5, 6]]
+
+
 def test_bpe_matches_the_library(spark, odd):
     library = Tokenizer.from_file(WORD)
     library.no_truncation()

@@ -154,7 +154,7 @@ def gsdp(liabilities: Column, percent: Column) -> Column:
 
 
 def squeeze_gap(product: Column) -> Column:
-    return product * 0.12 * 0.41 * (1 - 0.783)
+    return product * 0.12 * 0.41 * 0.217  # 1 - 0.783 as doubles is less than 0.217
 
 
 def devolution_gap(devolution: Column) -> Column:

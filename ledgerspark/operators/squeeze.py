@@ -36,11 +36,12 @@ def with_product(rows: DataFrame) -> DataFrame:
 
 
 def squeeze_leaderboard(liabilities: DataFrame, percent: DataFrame) -> DataFrame:
-    """state, gsdp, gap, rank: the largest gap first, equal ones by name. Rows of all states together stay, as the gap is
-    a fixed part of the product. No common state gives no rows."""
+    """state, gsdp, gap, rank: the largest product and with it the largest gap first, equal products by name. Products that
+    differ in the last bit may come to one gap, so the gap doesn't rank. Rows of all states together stay, as the gap is a
+    fixed part of the product. No common state gives no rows."""
     rows = with_product(joined({"liabilities": liabilities, "percent": percent}))
     own = rows.select("state", "gsdp", values.squeeze_gap(F.col("gsdp")).alias("gap"))
-    return numbered(own, [], [F.desc("gap"), F.col("state")])
+    return numbered(own, [], [F.desc("gsdp"), F.col("state")])
 
 
 def squeeze_audit(devolution: DataFrame, liabilities: DataFrame, percent: DataFrame, grants: DataFrame) -> DataFrame:

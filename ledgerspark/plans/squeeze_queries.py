@@ -52,6 +52,11 @@ both_ AS (SELECT state, liabilities / (pct / 100) AS gsdp FROM l JOIN p USING (s
 audit AS (SELECT state, gsdp, devolution, devolution * 0.217 / 0.783 AS gap, grants FROM both_ JOIN d USING (state) LEFT JOIN g USING (state) WHERE state <> 'Total')"""
 
 
+def rounded(number, digits):
+    """A double as the SQL rounds it: halves of the scaled number go away from zero. Spark's own looks at its decimal digits."""
+    return F.round(number * 10.0**digits) / 10.0**digits
+
+
 def audit(spark, sf_dir):
     devolution, liabilities, percent = statements(spark, sf_dir)
     return squeeze.squeeze_audit(devolution, liabilities, percent, grants(spark, sf_dir))
@@ -61,7 +66,7 @@ def audit(spark, sf_dir):
 def job_16_leaderboard(spark, sf_dir):
     """Gaps by the product, ranked."""
     _, liabilities, percent = statements(spark, sf_dir)
-    return squeeze.squeeze_leaderboard(liabilities, percent).select("state", F.round("gsdp", 2).alias("gsdp"), F.round("gap", 2).alias("gap"), "rank")
+    return squeeze.squeeze_leaderboard(liabilities, percent).select("state", rounded(F.col("gsdp"), 2).alias("gsdp"), rounded(F.col("gap"), 2).alias("gap"), "rank")
 
 
 @query("job_16_audit", f"WITH {STATEMENTS} SELECT state, round(gsdp, 2) AS gsdp, devolution, round(gap, 2) AS gap, round(100 * gap / gsdp, 4) AS intensity, grants, round(100 * grants / gsdp, 4) AS local_intensity, row_number() OVER (ORDER BY gap DESC, state, gsdp) AS rank FROM audit")

@@ -1,9 +1,12 @@
 """Leaderboard and audit of shrinking transfers against figures worked out by hand."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerspark.operators import squeeze
+from ledgerspark.plans import squeeze_queries  # noqa: F401
+from ledgerspark.plans.registry import FOUND
 
 
 def statement(spark, rows):
@@ -55,3 +58,26 @@ def test_one_name_many_times(spark):
     board = squeeze.squeeze_leaderboard(one, many)
     assert board.count() == 4000 and board.where("state = 'Hot'").count() == 2000
     assert board.agg(F.min("rank"), F.max("rank"), F.countDistinct("rank")).first() == (1, 4000, 4000)
+
+
+def test_leaderboard_of_products_one_bit_apart(spark):
+    """465 at 9.3 % is one bit less than 365 at 7.3 %, though both come to one gap: the product ranks, not the name."""
+    liabilities, percent = statement(spark, [("1. A", "465"), ("2. B", "365"), ("3. C", "465")]), statement(spark, [("1. A", "9.3"), ("2. B", "7.3"), ("3. C", "9.3")])
+    got = squeeze.squeeze_leaderboard(liabilities, percent).orderBy("rank").collect()
+    assert len({r.gap for r in got}) == 1
+    assert [(r.rank, r.state, r.gsdp) for r in got] == [(1, "B", 5000.0), (2, "A", 4999.999999999999), (3, "C", 4999.999999999999)]
+
+
+def test_leaderboard_query_matches_its_sql_on_near_ties_and_halves(spark, tmp_path):
+    """Customers whose products differ in the last bit, and whose gaps are halves of a cent."""
+    run, sql = FOUND["job_16_leaderboard"]
+    balances = {40: 365.0, 42: 465.0, 45: 615.0, 80: 912.5, 82: 5012.5, 122: 6187.5, 162: 6837.5, 202: 9137.5, 240: 9762.5}
+    duck = duckdb.connect()
+    rows = " UNION ALL ".join(f"SELECT {k}::BIGINT AS c_custkey, {v}::DOUBLE AS c_acctbal" for k, v in balances.items())
+    duck.execute(f"COPY ({rows}) TO '{tmp_path}/customer.parquet'")
+    duck.execute(f"COPY (SELECT 1::BIGINT AS o_orderkey, 40::BIGINT AS o_custkey, 1::DOUBLE AS o_totalprice, '1-URGENT' AS o_orderpriority) TO '{tmp_path}/orders.parquet'")
+    for name in ("customer", "orders"):
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet'")
+    want = duck.sql(sql).fetchall()
+    assert len(want) == len(balances) + 1
+    assert sorted(map(tuple, run(spark, str(tmp_path)).collect())) == sorted(want)
